@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from subledger.plans import quality
 from subledger.sources.retail import COLUMNS, RETRIED, raw_select
 
 # The window of the test tables, the same as in the registered queries.
@@ -356,8 +357,179 @@ ORACLES: dict[str, str] = {
             coalesce(losses, 0) as failed_charges, {half_up('losses', 'tries', 4)} as payment_failure_rate,
             {_M('coalesce(paid_c, 0)')} as charged_revenue
         from paired left join charged using (report_month)""",
+    "dim_dates": """
+        with bounds as (
+            select min(cast(order_created_at_utc as date)) as a, max(cast(order_created_at_utc as date)) as b from s_orders),
+        days as (select cast(unnest(generate_series(a, b, interval 1 day)) as date) as d from bounds)
+        select d as date_key, d as full_date, year(d) as year, month(d) as month_number, day(d) as day_of_month,
+            strftime(d, '%a') as day_name, strftime(d, '%b') as month_name,
+            cast(date_trunc('month', d) as date) as month_start, last_day(d) as month_end, quarter(d) as quarter_number,
+            printf('%d-Q%d', year(d), quarter(d)) as year_quarter, strftime(d, '%Y-%m') as year_month,
+            isodow(d) >= 6 as is_weekend
+        from days""",
+    "order_sequence": """
+        select order_id, shopify_customer_id, order_created_at_utc, customer_order_sequence from enriched""",
+    "first_touch": "select shopify_customer_id, channel as acquisition_channel from buyers",
+    "utm_parse": "select order_id, utm_source, utm_medium from s_orders",
+    "listagg_distinct": f"""
+        select * exclude (items_c), {_M('items_c')} as line_item_revenue from baskets""",
+    "cents_to_dollars": f"select id, amount, {_M('amount')} as dollars from raw_stripe__charges",
+    "safe_divide": f"""
+        select line_item_id, {half_up('(discount_c * 100)', '(quantity - 1)', 0)} / 1e4 as discount_per_extra_unit
+        from s_items""",
+    "month_diff": "select shopify_customer_id, date_diff('month', first_at, last_at) as months_as_customer from buyers",
+    "day_diff": f"select charge_id, date_diff('day', charge_created_at_utc, {AS_OF}) as days_ago from s_attempts",
+    "tz_to_utc": f"select id, created_at, {utc_from_shop('created_at')} as created_at_utc from raw_shopify__orders",
+    "error_category": f"""
+        select error_category, count(*) as charges, {_M('sum(total_c)')} as charge_total from s_attempts group by all""",
+    "conditional_distinct": """
+        select charge_month, count(distinct subscription_id) as subscriptions,
+            count(distinct subscription_id) filter (where is_successful_charge) as paid_subscriptions,
+            count(distinct subscription_id) filter (where is_failed_charge) as failed_subscriptions
+        from f_charges group by all""",
+    "distinct_products": "select distinct product_id, product_title, sku from s_items",
+    "month_spine": """
+        select report_month, count(order_id) as orders
+        from months left join s_orders on date_trunc('month', order_created_at_utc) = report_month group by all""",
+    "dq_unique": """
+        select id, count(*) as occurrences from raw_shopify__orders where id is not null group by all having count(*) > 1
+        union all
+        select id, count(*) from raw_shopify__order_line_items where id is not null group by all having count(*) > 1""",
+    "dq_not_null": "select stripe_charge_id, stripe_status from s_payments where shopify_order_id is null",
+    "dq_accepted_values": """
+        select id, status from raw_recharge__charges
+        where status not in ('SUCCESS', 'ERROR', 'DECLINED', 'QUEUED', 'REFUNDED')""",
+    "dq_relationships": """
+        select order_id, shopify_customer_id from enriched
+        where shopify_customer_id is not null
+            and not exists (from s_customers c where c.shopify_customer_id = enriched.shopify_customer_id)""",
+    "dq_expression": f"select order_id, {_M('net_c')} as net_revenue from s_orders where net_c < 200000",
+    "dq_recency": f"""
+        select max(order_created_at_utc) as most_recent, {AS_OF} - interval 3 day as threshold
+        from s_orders having max(order_created_at_utc) < {AS_OF} - interval 3 day""",
+    "dq_tolerance": f"""
+        select order_month, {_M('sum(gross_c)')} as shopify_revenue, {_M('sum(settled_c)')} as stripe_net_settled
+        from reconciled group by all having abs(sum(gross_c) - sum(settled_c)) * 20 >= sum(gross_c)""",
+    "churn_mrr_bridge": f"""
+        with lives as (
+            select shopify_customer_id as customer_id, report_month, {half_up('price_c * 30', 'charge_interval_days', 0)} as c,
+                subscription_created_at_utc <= report_month + interval 1 month
+                    and coalesce(subscription_cancelled_at_utc > report_month, true) as live
+            from s_subscriptions, months),
+        levels as (
+            select customer_id, report_month, coalesce(sum(c) filter (where live), 0) as now from lives group by all),
+        steps as (
+            select *, lag(now, 1, 0) over (partition by customer_id order by report_month) as before from levels)
+        select report_month, {_M('coalesce(sum(now) filter (where before = 0), 0)')} as new_mrr,
+            {_M('coalesce(sum(now - before) filter (where before > 0 and now > before), 0)')} as expansion_mrr,
+            {_M('coalesce(sum(now - before) filter (where now > 0 and now < before), 0)')} as contraction_mrr,
+            {_M('coalesce(sum(-before) filter (where now = 0 and before > 0), 0)')} as churned_mrr
+        from steps group by all having count(*) filter (where now <> before) > 0""",
+    "active_mom_change": f"""
+        with health as (
+            select report_month, count(distinct subscription_id) as active_subscriptions
+            from months left join f_subscriptions on subscription_created_at_utc <= report_month + interval 1 month
+                and coalesce(subscription_cancelled_at_utc > report_month, true)
+            group by all),
+        beside as (select *, lag(active_subscriptions) over (order by report_month) as before from health)
+        select report_month, active_subscriptions, active_subscriptions - before as change,
+            {half_up('(active_subscriptions - before)', 'before', 4)} as change_rate
+        from beside""",
+    "ltv_curve": f"""
+        with spent as (
+            select acquisition_cohort_month as cohort_month,
+                date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
+                sum(net_c) as c, count(distinct customer_id) as n
+            from f_orders where acquisition_cohort_month is not null group by all),
+        grown as (
+            select s.cohort_month, s.months_since_first_order, first.n as cohort_size, s.c,
+                sum(s.c) over (partition by s.cohort_month order by s.months_since_first_order) as total_c
+            from spent s join spent first on first.cohort_month = s.cohort_month and first.months_since_first_order = 0)
+        select cohort_month, months_since_first_order, cohort_size, {_M('c')} as net_revenue,
+            {_M('total_c')} as cumulative_revenue, {half_up('total_c', 'cohort_size', 0)} / 100 as revenue_per_customer
+        from grown""",
+    "channel_value": f"""
+        with channels as (
+            select acquisition_channel, count(*) as customers, count(*) filter (where customer_type = 'subscriber') as subscribers,
+                sum(net_c) as c, cast(sum(lifetime_orders) as bigint) as lifetime_orders
+            from d_customers group by all)
+        select * exclude (c), {_M('c')} as lifetime_revenue, {half_up('c', 'customers', 0)} / 100 as revenue_per_customer,
+            {half_up('subscribers', 'customers', 4)} as conversion_rate
+        from channels""",
+    "refund_rate": f"""
+        with monthly as (
+            select order_month, coalesce(sum(charge_c) filter (where is_successful), 0) as paid, sum(refund_c) as back,
+                sum(settled_c) as settled
+            from reconciled group by all)
+        select order_month, {_M('paid')} as stripe_gross_revenue, {_M('back')} as stripe_total_refunds,
+            {half_up('back', 'paid', 4)} as refund_rate, {_M('settled')} as net_revenue_after_returns
+        from monthly""",
+    "dunning_recovery": f"""
+        with failed as (
+            select charge_month, exists (
+                    from s_attempts w where w.subscription_id = f.subscription_id and w.is_successful_charge
+                        and w.charge_created_at_utc > f.charge_created_at_utc
+                        and w.charge_created_at_utc <= f.charge_created_at_utc + interval 30 day) as recovered
+            from f_charges f where is_failed_charge and subscription_id is not null),
+        monthly as (
+            select charge_month, count(*) as failed_charges, count(*) filter (where recovered) as recovered_charges
+            from failed group by all)
+        select *, {half_up('recovered_charges', 'failed_charges', 4)} as recovery_rate from monthly""",
+    "retention_by_channel": f"""
+        with seen as (
+            select acquisition_channel, acquisition_cohort_month as cohort_month,
+                date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
+                count(distinct customer_id) as customers_active
+            from f_orders where acquisition_cohort_month is not null group by all)
+        select a.*, b.customers_active as cohort_size, {half_up('a.customers_active', 'b.customers_active', 4)} as retention_rate
+        from seen a left join seen b on b.cohort_month = a.cohort_month and b.months_since_first_order = 0
+            and b.acquisition_channel is not distinct from a.acquisition_channel""",
+    "channel_first_vs_repeat": f"""
+        select channel, is_first_order, count(*) as orders, {_M('sum(net_c)')} as net_revenue from f_orders group by all""",
+    "dq_report": "",
 }
 
 
+def _report() -> str:
+    """Every declared check, counted over the published columns of its table."""
+    published = {
+        "stg_shopify__orders": "stg_orders", "stg_shopify__customers": "stg_customers",
+        "stg_shopify__order_line_items": "stg_line_items", "stg_recharge__subscriptions": "stg_subscriptions",
+        "stg_recharge__charges": "stg_recharge_charges", "stg_recharge__customers": "stg_recharge_customers",
+        "stg_stripe__charges": "stg_stripe_charges", "stg_stripe__refunds": "stg_stripe_refunds",
+        "int_customers__unified": "customers_unified", "int_orders__enriched": "orders_enriched",
+        "int_payments__reconciled": "payments_reconciled", "rpt_monthly_cohort_retention": "cohort_retention",
+        "rpt_revenue_reconciliation": "revenue_reconciliation", "rpt_subscription_health": "subscription_health",
+    }
+
+    def count(table: str, column: str, check: str, condition: str, grouped: bool = False) -> str:
+        rows = table if table in COLUMNS else f"({ORACLES[published.get(table, table)]})"
+        hits = (
+            f"(select {column} from {rows} where {column} is not null group by all having count(*) > 1)" if grouped
+            else f"{rows} where {condition}"
+        )
+        return (
+            f"select '{table}' as table_name, '{column}' as column_name, '{check}' as check_name, "
+            f"(select count(*) from {hits}) as violations"
+        )
+
+    parts = []
+    for table, columns in quality.UNIQUE_AND_NOT_NULL.items():
+        for column in columns:
+            parts.append(count(table, column, "unique", "", grouped=True))
+            parts.append(count(table, column, "not_null", f"{column} is null"))
+    for table, columns in quality.NOT_NULL_ONLY.items():
+        parts += [count(table, column, "not_null", f"{column} is null") for column in columns]
+    for (table, column), accepted in quality.ACCEPTED.items():
+        listed = ", ".join(f"'{v}'" for v in accepted)
+        parts.append(count(table, column, "accepted_values", f"{column} not in ({listed})"))
+    for (table, column), rule in quality.EXPRESSIONS.items():
+        parts.append(count(table, column, "expression", f"not ({column} {rule})"))
+    return " union all ".join(parts)
+
+
+ORACLES["dq_report"] = _report()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(query) for name, query in ORACLES.items()}

@@ -27,12 +27,12 @@ def proper_name(name: Column) -> Column:
 
 
 def is_blank(value: Column) -> Column:
-    return value.isNull() | (F.trim(value.cast("string")) == "")
+    return value.isNull() | (F.trim(value) == "")
 
 
 def blank_to_null(value: Column, then: Column | None = None) -> Column:
     """``then`` (by default the value itself) where the value has text in it, else null."""
-    return F.when(F.trim(value.cast("string")) != "", value if then is None else then)
+    return F.when(F.trim(value) != "", value if then is None else then)
 
 
 def url_parameter(url: Column, name: str) -> Column:

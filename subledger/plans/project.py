@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 from subledger.operators import HotKeys, date_spine, find_hot_keys
 from subledger.plans import core, intermediate, reporting, staging
 from subledger.settings import Settings
-from subledger.sources import Source
+from subledger.sources import RAW_TABLES, Source
+
+
+# Table names by layer, inputs before the tables that read them.
+STAGING = [
+    "stg_shopify__orders", "stg_shopify__customers", "stg_shopify__order_line_items", "stg_recharge__subscriptions",
+    "stg_recharge__charges", "stg_recharge__customers", "stg_stripe__charges", "stg_stripe__refunds",
+]
+INTERMEDIATE = ["int_customers__unified", "int_orders__enriched", "int_payments__reconciled"]
+CORE = ["dim_dates", "dim_products", "dim_customers", "fct_orders", "fct_subscriptions", "fct_charges"]
+REPORTING = ["rpt_monthly_cohort_retention", "rpt_revenue_reconciliation", "rpt_subscription_health"]
 
 
 class Project:
@@ -24,6 +34,15 @@ class Project:
         self.__dict__[name] = df
         self.written.add(name)
 
+    def table(self, name: str) -> DataFrame:
+        """Any table by its name, raw ones included."""
+        for system, tables in RAW_TABLES.items():
+            if name in tables:
+                return self.source.read(system, name)
+        if name not in STAGING + INTERMEDIATE + CORE + REPORTING:
+            raise KeyError(name)
+        return getattr(self, name)
+
     # Staging
 
     @cached_property
@@ -81,9 +100,7 @@ class Project:
         """Enriched orders before their items and sequence: all that customer aggregates need."""
         if "int_orders__enriched" in self.written:
             return self.int_orders__enriched
-        return intermediate.valid_orders(self.stg_shopify__orders).withColumn(
-            "order_month", F.trunc("order_created_at_utc", "month")
-        )
+        return intermediate.valid_orders(self.stg_shopify__orders)
 
     @cached_property
     def int_orders__enriched(self) -> DataFrame:
@@ -140,7 +157,7 @@ class Project:
         if "fct_orders" in self.written:
             months = self.fct_orders.select("customer_id", "acquisition_cohort_month", "order_month").distinct()
         else:
-            months = reporting.customer_months(self.valid_orders, self.acquired)
+            months = reporting.customer_months(self.valid_orders, self.stg_shopify__customers)
         return reporting.cohort_retention(months)
 
     @cached_property

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.functions import flag, month_of, months_between, safe_divide
@@ -14,15 +14,23 @@ from subledger.plans.intermediate import MISMATCH, NO_MATCH, ORPHANED, RECONCILE
 from subledger.settings import Settings
 
 
-def customer_months(orders: DataFrame, acquired: DataFrame) -> DataFrame:
-    """The months in which a customer ordered, with the customer's cohort.
+def customer_months(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
+    """The months in which a customer of the dimension ordered, with the customer's cohort.
 
-    The same rows as the distinct of the order facts, but reduced to customer and month before the join, so a customer
-    with very many orders is a few rows by then.
+    The same rows as the distinct of the order facts, from one aggregate instead of a join of orders with their own
+    totals. A customer's set of months is bounded by the calendar, however many orders there are.
     """
-    months = orders.select(F.col("shopify_customer_id").alias("customer_id"), "order_month").distinct()
-    cohorts = acquired.select("customer_id", "acquisition_cohort_month").distinct()
-    return months.join(cohorts, "customer_id", "left")
+    month = month_of(F.col("order_created_at_utc"))
+    per_customer = orders.groupBy(F.col("shopify_customer_id").alias("customer_id")).agg(
+        month_of(F.min("order_created_at_utc")).alias("acquisition_cohort_month"),
+        F.collect_set(month).alias("months"),
+        F.count_if(F.col("order_created_at_utc").isNull()).alias("undated"),
+    )
+    ids = shop_customers.select(F.col("shopify_customer_id").alias("customer_id"))
+    months = F.when(F.col("undated") > 0, F.array_append("months", F.lit(None).cast("date"))).otherwise(F.col("months"))
+    return per_customer.join(ids, "customer_id", "left_semi").select(
+        "customer_id", "acquisition_cohort_month", F.explode(months).alias("order_month")
+    )
 
 
 def cohort_retention(active_months: DataFrame) -> DataFrame:
@@ -54,7 +62,7 @@ def cohort_retention(active_months: DataFrame) -> DataFrame:
 
 
 def revenue_reconciliation(reconciled: DataFrame, settings: Settings) -> DataFrame:
-    def of_status(status: str):
+    def of_status(status: str) -> Column:
         return F.count_if(F.col("reconciliation_status") == status)
 
     monthly = reconciled.groupBy("order_month").agg(
@@ -95,32 +103,39 @@ def report_months(settings: Settings) -> tuple[dt.date, dt.date]:
     return first.replace(day=1), last.replace(day=1)
 
 
-def subscription_months(subscriptions: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Per month: change of the active count, new and cancelled subscriptions, change of recurring revenue.
+def life(first: dt.date, last: dt.date) -> tuple[Column, Column]:
+    """First and last month a subscription is active in, cut to the report; both null when there is none.
 
     A subscription is active in a month when it was created by the next month's first midnight, that instant included,
     and was not cancelled by the month's own first midnight. So it is active from the month of creation, or the one
     before when created on a month's first midnight, to the month of cancellation, or the one before likewise.
-
-    Counts are of distinct subscription ids. Should an id have several rows, their months are merged rather than
-    counted twice; a copied row counts once in the counts and each time in the revenue.
     """
     created, ended = F.col("subscription_created_at_utc"), F.col("subscription_cancelled_at_utc")
 
-    def open_month(when):
+    def month_before(when: Column) -> Column:
         month = month_of(when)
         return F.when(when == month.cast("timestamp_ntz"), F.add_months(month, -1)).otherwise(month)
 
-    opened = F.greatest(open_month(created), F.lit(first))
-    closed = F.least(F.coalesce(open_month(ended), F.lit(last)), F.lit(last))
-    # created null: greatest would skip it, but such a subscription is never active.
+    opened = F.greatest(month_before(created), F.lit(first))
+    closed = F.least(F.coalesce(month_before(ended), F.lit(last)), F.lit(last))
+    # greatest passes over a null, but a subscription that was never created is never active.
     lives = created.isNotNull() & (opened <= closed)
+    return F.when(lives, opened), F.when(lives, closed)
+
+
+def subscription_months(subscriptions: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Per month: change of the active count, new and cancelled subscriptions, change of recurring revenue.
+
+    Counts are of distinct subscription ids. Should an id have several rows, their months are merged rather than
+    counted twice; a copied row counts once in the counts and each time in the revenue.
+    """
+    opened, closed = life(first, last)
     lives_in = subscriptions.select(
         "subscription_id",
-        month_of(created).alias("new_month"),
-        month_of(ended).alias("cancelled_month"),
-        F.when(lives, opened).alias("opened"),
-        F.when(lives, closed).alias("closed"),
+        month_of(F.col("subscription_created_at_utc")).alias("new_month"),
+        month_of(F.col("subscription_cancelled_at_utc")).alias("cancelled_month"),
+        opened.alias("opened"),
+        closed.alias("closed"),
         "monthly_recurring_revenue",
     )
     # Collapses copies before they meet in one task: an id has at most one row per combination of months.
@@ -132,7 +147,7 @@ def subscription_months(subscriptions: DataFrame, first: dt.date, last: dt.date)
     covered = F.max("closed").over(by_id.orderBy(F.col("opened").asc_nulls_last(), "closed").rowsBetween(Window.unboundedPreceding, -1))
     identified = F.col("subscription_id").isNotNull()
 
-    def first_in(month: str):
+    def first_in(month: str) -> Column:
         rank = F.row_number().over(Window.partitionBy("subscription_id", month).orderBy("opened", "closed", "new_month", "cancelled_month"))
         return F.when(identified & (rank == 1), F.col(month))
 

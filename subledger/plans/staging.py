@@ -1,8 +1,12 @@
-"""One cleaned table per raw table: names, types, duplicates, blanks, clocks. No joins."""
+"""One cleaned table per raw table: names, types, duplicates, blanks, clocks. No joins.
+
+Ids are typed in the raw schemas, so a blank one is null by the time it gets here and needs no test of its text; a filter
+on it then reaches the Parquet scan.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.functions import (
@@ -125,7 +129,7 @@ def subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def error_category(message) -> F.Column:
+def error_category(message: Column) -> Column:
     category = None
     for pattern, label in ERROR_CATEGORIES.items():
         hit = message.ilike(pattern)
@@ -140,7 +144,7 @@ def subscription_charges(raw: DataFrame) -> DataFrame:
         F.col("id").alias("charge_id"),
         "subscription_id",
         F.col("customer_id").alias("recharge_customer_id"),
-        blank_to_null(F.col("shopify_order_id")).alias("shopify_order_id"),
+        "shopify_order_id",
         clean_email(F.col("email")).alias("customer_email"),
         wall_clock(F.col("created_at")).alias("charge_created_at_utc"),
         blank_to_null(F.col("processed_at"), wall_clock(F.col("processed_at"))).alias("charge_processed_at_utc"),
@@ -185,11 +189,11 @@ def payment_charges(raw: DataFrame) -> DataFrame:
         flag(F.col("status") == "succeeded").alias("is_successful"),
         wall_clock(F.col("created")).alias("charge_created_at_utc"),
         clean_email(F.col("customer_email")).alias("customer_email"),
-        blank_to_null(order_id).alias("shopify_order_id"),
-        blank_to_null(charge_id).alias("recharge_charge_id"),
+        order_id.alias("shopify_order_id"),
+        charge_id.alias("recharge_charge_id"),
         F.lower("payment_method_type").alias("payment_method_type"),
         blank_to_null(F.col("failure_code"), F.lower(F.trim("failure_code"))).alias("failure_code"),
-        flag((F.col("status") == "failed") & is_blank(order_id) & is_blank(charge_id)).alias("is_ghost_failure"),
+        flag((F.col("status") == "failed") & order_id.isNull() & charge_id.isNull()).alias("is_ghost_failure"),
     )
 
 
@@ -202,5 +206,5 @@ def payment_refunds(raw: DataFrame) -> DataFrame:
         F.col("status").alias("refund_status"),
         wall_clock(F.col("created")).alias("refund_created_at_utc"),
         F.coalesce(blank_to_null(F.col("reason"), F.lower(F.trim("reason"))), F.lit(NO_REASON)).alias("refund_reason"),
-        blank_to_null(F.col("metadata_shopify_order_id")).alias("shopify_order_id"),
+        F.col("metadata_shopify_order_id").alias("shopify_order_id"),
     )

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subledger.functions import cents_to_dollars, days_between, month_of, months_between, safe_divide, zone_to_utc
+from subledger.operators import day_spine, month_spine, number_rows
+from subledger.plans import core, dashboards, intermediate, quality, reporting
 from subledger.plans.project import Project
+from subledger.plans.warehouse import ParquetSink, build
+from subledger.session import run_folder
 from subledger.settings import Settings
 from subledger.sources import RetailSource
 
@@ -42,9 +47,94 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "cohort_retention": lambda p: p.rpt_monthly_cohort_retention,
     "revenue_reconciliation": lambda p: p.rpt_revenue_reconciliation,
     "subscription_health": lambda p: p.rpt_subscription_health,
+    "dim_dates": lambda p: core.dates(day_spine(order_days(p))),
+    # Single operators
+    "order_sequence": lambda p: order_sequence(p),
+    "first_touch": lambda p: core.customer_orders(p.valid_orders).select("shopify_customer_id", "acquisition_channel"),
+    "utm_parse": lambda p: p.stg_shopify__orders.select("order_id", "utm_source", "utm_medium"),
+    "listagg_distinct": lambda p: intermediate.order_items(p.stg_shopify__order_line_items),
+    "cents_to_dollars": lambda p: p.source.read("stripe", "raw_stripe__charges").select(
+        "id", "amount", cents_to_dollars(F.col("amount")).alias("dollars")
+    ),
+    "safe_divide": lambda p: p.stg_shopify__order_line_items.select(
+        "line_item_id", safe_divide(F.col("line_discount_amount"), F.col("quantity") - 1).alias("discount_per_extra_unit")
+    ),
+    "month_diff": lambda p: core.customer_orders(p.valid_orders).select(
+        "shopify_customer_id", months_between(F.col("first_order_at"), F.col("last_order_at")).alias("months_as_customer")
+    ),
+    "day_diff": lambda p: p.stg_recharge__charges.select(
+        "charge_id", days_between(F.col("charge_created_at_utc"), core.as_of(p.settings)).alias("days_ago")
+    ),
+    "tz_to_utc": lambda p: p.source.read("shopify", "raw_shopify__orders").select(
+        "id", "created_at", zone_to_utc(F.col("created_at"), p.settings.shop_timezone).alias("created_at_utc")
+    ),
+    "error_category": lambda p: p.stg_recharge__charges.groupBy("error_category").agg(
+        F.count("*").alias("charges"), F.sum("charge_total").alias("charge_total")
+    ),
+    "conditional_distinct": lambda p: charged_subscriptions(p.fct_charges),
+    "distinct_products": lambda p: p.stg_shopify__order_line_items.select("product_id", "product_title", "sku").distinct(),
+    "month_spine": lambda p: dense_order_months(p),
+    # Checks
+    "dq_unique": lambda p: quality.duplicated(p.source.read("shopify", "raw_shopify__order_line_items"), "id").unionByName(
+        quality.duplicated(p.source.read("shopify", "raw_shopify__orders"), "id")
+    ),
+    "dq_not_null": lambda p: quality.missing(p.stg_stripe__charges, "shopify_order_id").select("stripe_charge_id", "stripe_status"),
+    "dq_accepted_values": lambda p: quality.outside(
+        p.source.read("recharge", "raw_recharge__charges"), "status", quality.ACCEPTED["raw_recharge__charges", "status"]
+    ).select("id", "status"),
+    "dq_relationships": lambda p: quality.orphans(
+        p.valid_orders, "shopify_customer_id", p.stg_shopify__customers, "shopify_customer_id"
+    ).select("order_id", "shopify_customer_id"),
+    "dq_expression": lambda p: quality.failing(p.stg_shopify__orders, F.col("net_revenue") >= 2000).select("order_id", "net_revenue"),
+    "dq_recency": lambda p: quality.stale(p.stg_shopify__orders, "order_created_at_utc", p.settings.recency_days, p.settings),
+    "dq_tolerance": lambda p: quality.disagreeing_months(p.rpt_revenue_reconciliation, p.settings),
+    "dq_report": lambda p: quality.report(build(p, ParquetSink(p.spark, run_folder(p.spark))).table),
+    # Dashboard tables
+    "churn_mrr_bridge": lambda p: dashboards.mrr_bridge(p.stg_recharge__subscriptions, p.settings),
+    "active_mom_change": lambda p: dashboards.active_change(p.rpt_subscription_health),
+    "ltv_curve": lambda p: dashboards.cohort_value(p.valid_orders, p.acquired),
+    "channel_value": lambda p: dashboards.channel_value(p.dim_customers),
+    "refund_rate": lambda p: dashboards.refund_rate(p.rpt_revenue_reconciliation),
+    "dunning_recovery": lambda p: dashboards.dunning_recovery(p.fct_charges, p.settings),
+    "retention_by_channel": lambda p: dashboards.retention_by_channel(p.valid_orders, p.acquired),
+    "channel_first_vs_repeat": lambda p: dashboards.channel_orders(p.fct_orders),
 }
 
 
+def order_days(p: Project) -> DataFrame:
+    """First day of the order history and the day after its last: the bounds of a calendar over it."""
+    day = F.to_date("order_created_at_utc")
+    return p.stg_shopify__orders.agg(F.min(day).alias("start"), F.date_add(F.max(day), 1).alias("end"))
+
+
+def order_sequence(p: Project) -> DataFrame:
+    orders = p.valid_orders.select("order_id", "shopify_customer_id", "order_created_at_utc")
+    return number_rows(orders, ["order_created_at_utc", "order_id"], "customer_order_sequence", p.hot_customers)
+
+
+def charged_subscriptions(charges: DataFrame) -> DataFrame:
+    """Distinct subscriptions charged and failed per month: one row per subscription and month first, then plain counts."""
+    per_subscription = charges.groupBy("charge_month", "subscription_id").agg(
+        F.max("is_successful_charge").alias("paid"), F.max("is_failed_charge").alias("failed")
+    )
+    known = F.col("subscription_id").isNotNull()
+    return per_subscription.groupBy("charge_month").agg(
+        F.count_if(known).alias("subscriptions"),
+        F.count_if(known & F.col("paid")).alias("paid_subscriptions"),
+        F.count_if(known & F.col("failed")).alias("failed_subscriptions"),
+    )
+
+
+def dense_order_months(p: Project) -> DataFrame:
+    """Orders per month over the report's month spine, 0 where there were none."""
+    first, last = reporting.report_months(p.settings)
+    monthly = p.stg_shopify__orders.groupBy(month_of(F.col("order_created_at_utc")).alias("report_month")).agg(
+        F.count("*").alias("orders")
+    )
+    months = month_spine(p.spark, first, last).join(monthly, "report_month", "left")
+    return months.select("report_month", F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
 def plain_types(df: DataFrame) -> DataFrame:
     """Decimals as double and whole numbers as bigint, the types both engines hash alike."""
     def plain(field: T.StructField):
