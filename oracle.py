@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from subledger.plans import quality
-from subledger.sources.retail import COLUMNS, RETRIED, raw_select
+from subledger.sources.retail import COLUMNS, INPUTS, raw_select
 
 # The window of the test tables, the same as in the registered queries.
 AS_OF, FIRST_DAY, LAST_DAY = "date '2001-12-31'", "date '1995-01-01'", "date '2001-12-31'"
@@ -44,7 +44,7 @@ def stamp(text: str) -> str:
 
 
 def _columns(table: str) -> list[str]:
-    return list(COLUMNS[table][0][1])
+    return list(COLUMNS[table][0][2])
 
 
 def _order(table: str, skip: tuple[str, ...]) -> str:
@@ -52,11 +52,8 @@ def _order(table: str, skip: tuple[str, ...]) -> str:
 
 
 TABLES: dict[str, str] = {
-    "deliveries": f"select *, unnest(case when {RETRIED} then [0, 1] else [0] end) as delivery from orders",
-    **{
-        table: raw_select(table).format(**{n: n for n in ("customer", "nation", "orders", "deliveries", "lineitem", "events")})
-        for table in COLUMNS
-    },
+    **INPUTS,
+    **{table: raw_select(table) for table in COLUMNS},
     "s_orders": f"""
         select id as order_id, cast(order_number as bigint) as order_number, customer_id as shopify_customer_id, lower(trim(email)) as customer_email,
             {utc_from_shop('created_at')} as order_created_at_utc,

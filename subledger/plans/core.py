@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.functions import days_between, flag, month_of, safe_divide
+from subledger.plans.staging import ACTIVE
 from subledger.settings import Settings
 
 # Labels, supply lengths found in variant titles, and how bundles are told from single products.
@@ -39,7 +40,7 @@ def customer_orders(orders: DataFrame) -> DataFrame:
 
 
 def customer_subscriptions(subscriptions: DataFrame) -> DataFrame:
-    active = F.col("subscription_status") == "active"
+    active = F.col("subscription_status") == ACTIVE
     return subscriptions.groupBy("shopify_customer_id").agg(
         F.count("*").alias("total_subscriptions"),
         F.count_if(active).alias("active_subscriptions"),
@@ -225,5 +226,5 @@ def subscription_facts(subscriptions: DataFrame, charges: DataFrame, settings: S
         F.coalesce("failed_charges", F.lit(0)).alias("failed_charges"),
         F.coalesce("total_charged_revenue", F.lit(0)).alias("total_charged_revenue"),
         safe_divide(F.col("failed_charges"), F.col("total_charge_attempts")).alias("failure_rate"),
-        F.when(F.col("subscription_status") == "active", recurring).otherwise(0).alias("monthly_recurring_revenue"),
+        F.when(F.col("subscription_status") == ACTIVE, recurring).otherwise(0).alias("monthly_recurring_revenue"),
     )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.functions import flag, month_of
+from subledger.functions import month_of
 from subledger.operators import HotKeys, keep_first, left_join_many, number_rows, total_order
+from subledger.plans.staging import PAYMENT_SUCCESS
 from subledger.settings import Settings
 
 # Order states that count as refunded, the state that removes an order, and the four outcomes.
@@ -106,8 +107,9 @@ def refunds_per_order(refunds: DataFrame) -> DataFrame:
 
 
 def successful_payments(charges: DataFrame) -> DataFrame:
-    """Charges an order can be matched to, keyed by the order."""
-    return charges.filter(F.col("is_successful") & F.col("shopify_order_id").isNotNull()).select(
+    """Charges an order can be matched to, keyed by the order. Tested on the status itself, which a scan can filter on."""
+    successful = F.col("stripe_status") == PAYMENT_SUCCESS
+    return charges.filter(successful & F.col("shopify_order_id").isNotNull()).select(
         F.col("shopify_order_id").alias("order_id"), "stripe_charge_id", "charge_amount", "stripe_status", "is_successful"
     )
 

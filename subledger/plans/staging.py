@@ -19,6 +19,7 @@ from subledger.settings import Settings
 # The words of the source systems, the labels given to them, and how messages map to error categories
 # (first match wins).
 SUBSCRIPTION_SOURCE = "subscription_contract"
+ACTIVE, CANCELLED = "active", "cancelled"
 CHARGE_SUCCESS = "SUCCESS"
 CHARGE_FAILURES = ["ERROR", "DECLINED"]
 ERROR_CATEGORIES = {
@@ -28,15 +29,20 @@ ERROR_CATEGORIES = {
     "%update%": "payment_method_update_needed",
 }
 OTHER_ERROR = "other_error"
+PAYMENT_SUCCESS, PAYMENT_FAILURE = "succeeded", "failed"
 SHORT_TIER, LONG_TIER, OTHER_TIER = "30-day", "90-day", "other"
 NO_REASON = "not_specified"
 
 
 def shop_orders(raw: DataFrame, settings: Settings) -> DataFrame:
     """One row per order: the earliest delivery, retries dropped. ``created_at`` is fixed-width text in one zone."""
-    first = keep_first(raw, ["id"], total_order(raw, [F.col("created_at").asc_nulls_last()], skip=["id", "created_at"]))
+    earliest = total_order(raw, [F.col("created_at").asc_nulls_last()], skip=["id", "created_at"])
+    return order_columns(keep_first(raw, ["id"], earliest), settings)
+
+
+def order_columns(raw: DataFrame, settings: Settings) -> DataFrame:
     gross, discount = money(F.col("total_price")), money(F.col("total_discounts"))
-    return first.select(
+    return raw.select(
         F.col("id").alias("order_id"),
         "order_number",
         F.col("customer_id").alias("shopify_customer_id"),
@@ -102,7 +108,7 @@ def shop_line_items(raw: DataFrame) -> DataFrame:
 
 def subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
     """Subscriptions still called active after their cancellation are cancelled."""
-    mismatch = flag((F.col("status") == "active") & ~is_blank(F.col("cancelled_at")))
+    mismatch = flag((F.col("status") == ACTIVE) & ~is_blank(F.col("cancelled_at")))
     interval = F.col("charge_interval_frequency").cast("int")
     return raw.select(
         F.col("id").alias("subscription_id"),
@@ -114,7 +120,7 @@ def subscriptions(raw: DataFrame, settings: Settings) -> DataFrame:
         "sku",
         money(F.col("price")).alias("subscription_price"),
         F.col("quantity").cast("int").alias("quantity"),
-        F.when(mismatch, F.lit("cancelled")).otherwise(F.lower("status")).alias("subscription_status"),
+        F.when(mismatch, F.lit(CANCELLED)).otherwise(F.lower("status")).alias("subscription_status"),
         mismatch.alias("had_status_mismatch"),
         wall_clock(F.col("created_at")).alias("subscription_created_at_utc"),
         blank_to_null(F.col("cancelled_at"), wall_clock(F.col("cancelled_at"))).alias("subscription_cancelled_at_utc"),
@@ -186,14 +192,14 @@ def payment_charges(raw: DataFrame) -> DataFrame:
         (amount - refunded).alias("net_charge_amount"),
         F.upper("currency").alias("currency"),
         F.col("status").alias("stripe_status"),
-        flag(F.col("status") == "succeeded").alias("is_successful"),
+        flag(F.col("status") == PAYMENT_SUCCESS).alias("is_successful"),
         wall_clock(F.col("created")).alias("charge_created_at_utc"),
         clean_email(F.col("customer_email")).alias("customer_email"),
         order_id.alias("shopify_order_id"),
         charge_id.alias("recharge_charge_id"),
         F.lower("payment_method_type").alias("payment_method_type"),
         blank_to_null(F.col("failure_code"), F.lower(F.trim("failure_code"))).alias("failure_code"),
-        flag((F.col("status") == "failed") & order_id.isNull() & charge_id.isNull()).alias("is_ghost_failure"),
+        flag((F.col("status") == PAYMENT_FAILURE) & order_id.isNull() & charge_id.isNull()).alias("is_ghost_failure"),
     )
 
 

@@ -16,6 +16,8 @@ def build_session(app: str = "subledger", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Recording the Python line of every column expression triples the time it takes to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     builder = SparkSession.builder.appName(app)
     if master:

@@ -7,6 +7,8 @@ mismatches, wrong amounts, orphaned refunds and failed charges nobody asked for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,12 @@ def _two(number: str) -> str:
 _SUBSCRIBED = "c_custkey % 10 < 6"
 _CANCELLED = "c_custkey % 10 < 2 or c_custkey % 30 = 2"
 
-# table -> parts to put under one another, each a from clause and {column: expression}. "deliveries" are the orders with
-# a column "delivery": 0 for the first arrival, 1 for the retry some orders get.
-COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
-    "raw_shopify__customers": [("{customer} join {nation} on c_nationkey = n_nationkey", {
+# table -> parts to put under one another, each an input, a condition and {column: expression}. Inputs are the retail
+# tables, "residents" (customers with their nation) and "deliveries" (orders with a column "delivery": 0 for the first
+# arrival, 1 for the retry some orders get). The conditions are part of the data: not every customer subscribes, not
+# every order was paid or refunded.
+COLUMNS: dict[str, list[tuple[str, str, dict[str, str]]]] = {
+    "raw_shopify__customers": [("residents", "", {
         "id": "c_custkey",
         "email": "case when c_custkey % 50 = 49 then ' CUST' || cast(c_custkey - 1 as string) || '@Example.com ' "
                  f"else {_email('c_custkey')} end",
@@ -50,7 +54,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
         "tags": "''",
         "accepts_marketing": "case when c_custkey % 4 = 3 then 'false' else 'True' end",
     })],
-    "raw_shopify__orders": [("{deliveries}", {
+    "raw_shopify__orders": [("deliveries", "", {
         "id": "o_orderkey",
         "order_number": "cast(10000 + o_orderkey as int)",
         "customer_id": "o_custkey",
@@ -78,7 +82,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
         "tags": "''",
         "billing_address_province": _NONE,
     })],
-    "raw_shopify__order_line_items": [("{lineitem}", {
+    "raw_shopify__order_line_items": [("lineitem", "", {
         "id": "l_orderkey * 10 + l_linenumber",
         "order_id": "l_orderkey",
         "product_id": "'PROD_' || cast(l_partkey % 7 as string)",
@@ -89,7 +93,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
         "price": "cast(29.99 as double) + l_partkey % 7 * 10",
         "total_discount": "l_discount * 100",
     })],
-    "raw_recharge__customers": [("{customer} where " + _SUBSCRIBED, {
+    "raw_recharge__customers": [("customer", _SUBSCRIBED, {
         "id": "9000000000 + c_custkey",
         "shopify_customer_id": "c_custkey",
         "email": _email("c_custkey"),
@@ -99,7 +103,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
         "status": "'ACTIVE'",
         "has_payment_method_in_dunning": "case when c_custkey % 30 = 0 then 'true' else 'false' end",
     })],
-    "raw_recharge__subscriptions": [("{customer} where " + _SUBSCRIBED, {
+    "raw_recharge__subscriptions": [("customer", _SUBSCRIBED, {
         "id": "3000000000 + c_custkey",
         "customer_id": "9000000000 + c_custkey",
         "shopify_customer_id": "c_custkey",
@@ -118,7 +122,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
         "order_interval_unit": "'DAY'",
         "next_charge_scheduled_at": _NONE,
     })],
-    "raw_recharge__charges": [("{orders} where o_custkey % 10 < 6", {
+    "raw_recharge__charges": [("orders", "o_custkey % 10 < 6", {
         "id": "1000000000 + o_orderkey",
         "subscription_id": "3000000000 + o_custkey",
         "customer_id": "9000000000 + o_custkey",
@@ -139,7 +143,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
         "payment_processor": "'Stripe'",
     })],
     "raw_stripe__charges": [
-        ("{orders} where o_orderkey % 33 <> 5", {
+        ("orders", "o_orderkey % 33 <> 5", {
             "id": "'ch_' || cast(o_orderkey as string)",
             "amount": "cast(round(o_totalprice * 100) as bigint) + case when o_orderkey % 40 = 11 then 500 else 0 end",
             "amount_refunded": "cast(0 as bigint)",
@@ -153,7 +157,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
             "failure_code": "case when o_orderkey % 25 = 3 then ' Card_Declined ' else '' end",
             "failure_message": _NONE,
         }),
-        ("{events} where event_type = 'error' and event_id % 50 = 0", {
+        ("events", "event_type = 'error' and event_id % 50 = 0", {
             "id": "'ch_ghost_' || cast(event_id as string)",
             "amount": "cast(round(value * 100) as bigint)",
             "amount_refunded": "cast(0 as bigint)",
@@ -168,7 +172,7 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
             "failure_message": _NONE,
         }),
     ],
-    "raw_stripe__refunds": [("{orders} where o_orderkey % 25 in (1, 2) or o_orderkey % 100 = 8", {
+    "raw_stripe__refunds": [("orders", "o_orderkey % 25 in (1, 2) or o_orderkey % 100 = 8", {
         "id": "'re_' || cast(o_orderkey as string)",
         "charge_id": "'ch_' || cast(o_orderkey as string)",
         "amount": "cast(round(o_totalprice * case when o_orderkey % 25 = 1 then 100 else 40 end) as bigint)",
@@ -184,11 +188,19 @@ COLUMNS: dict[str, list[tuple[str, dict[str, str]]]] = {
 RETRIED = "o_orderkey % 50 = 7"
 
 
+# The inputs that are not tables, as a query each.
+INPUTS = {
+    "residents": "select * from customer join nation on c_nationkey = n_nationkey",
+    "deliveries": f"select *, unnest(case when {RETRIED} then [0, 1] else [0] end) as delivery from orders",
+}
+
+
 def raw_select(table: str) -> str:
-    """The SELECT that derives a raw table, with ``{name}`` for every input."""
+    """The SELECT that derives a raw table."""
     return " union all ".join(
-        "select " + ", ".join(f"{expression} as {column}" for column, expression in columns.items()) + f" from {clause}"
-        for clause, columns in COLUMNS[table]
+        "select " + ", ".join(f"{expression} as {column}" for column, expression in columns.items())
+        + f" from {source}" + (f" where {condition}" if condition else "")
+        for source, condition, columns in COLUMNS[table]
     )
 
 
@@ -197,15 +209,26 @@ class RetailSource:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._frames: dict[str, DataFrame] = {}
 
     def frame(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._read(name)
+        return self._frames[name]
+
+    def _read(self, name: str) -> DataFrame:
+        if name == "residents":
+            return self.frame("customer").join(self.frame("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         if name == "deliveries":
-            times = F.when(F.expr(RETRIED), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-            return self.frame("orders").withColumn("delivery", F.explode(times))
+            times = F.expr(f"explode(case when {RETRIED} then array(0, 1) else array(0) end) as delivery")
+            return self.frame("orders").select("*", times)
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def read(self, system: str, table: str) -> DataFrame:
-        query = raw_select(table)
-        names = [n for n in ("customer", "nation", "orders", "deliveries", "lineitem", "events") if "{" + n + "}" in query]
-        df = self.spark.sql(query, **{n: self.frame(n) for n in names})
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in raw_schema(system, table)])
+        types = {f.name: f.dataType.simpleString() for f in raw_schema(system, table)}
+        parts = []
+        for source, condition, columns in COLUMNS[table]:
+            df = self.frame(source)
+            rows = df.filter(condition) if condition else df
+            parts.append(rows.selectExpr(*[f"cast({e} as {types[c]}) as {c}" for c, e in columns.items()]))
+        return reduce(DataFrame.unionAll, parts)
