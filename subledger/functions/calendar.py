@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,8 +12,15 @@ def wall_clock(text: Column) -> Column:
 
 
 def zone_to_utc(text: Column, zone: str) -> Column:
-    """Read the printed wall clock as local time of ``zone``, daylight saving included, and move it to UTC."""
-    return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall_clock(text))
+    """Read the printed wall clock as local time of ``zone``, daylight saving included, and move it to UTC.
+
+    In a UTC session, the rule here, ``to_utc_timestamp`` does this; it looks the zone up once, ``convert_timezone`` for
+    every row.
+    """
+    wall = wall_clock(text)
+    if SparkSession.active().conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC"):
+        return F.to_utc_timestamp(wall.cast("timestamp"), zone).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall)
 
 
 def month_of(when: Column) -> Column:

@@ -38,7 +38,11 @@ def blank_to_null(value: Column, then: Column | None = None) -> Column:
 def url_parameter(url: Column, name: str) -> Column:
     """A query parameter of a landing page; '' when present but empty, null when absent.
 
-    The presence test is a LIKE, where ``_`` stands for any character, and nothing is URL-decoded.
+    Presence is a LIKE on ``name=``, where ``_`` stands for any character, so a look-alike name gives ''. Nothing is
+    URL-decoded. Most pages are decided by plain substring tests; the pattern only has to look at the rest.
     """
-    after_name = F.split_part(url, F.lit(f"{name}="), F.lit(2))
-    return F.when(url.like(f"%{name}=%"), F.split_part(after_name, F.lit("&"), F.lit(1)))
+    key = f"{name}="
+    after = F.substr(url, F.locate(key, url) + len(key))
+    value = F.substring_index(F.substring_index(after, key, 1), "&", 1)
+    look_alike = url.contains(key.split("_")[0]) & url.like(f"%{key}%")
+    return F.when(url.contains(key), value).when(look_alike, F.lit(""))

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from subledger.session import materialized
 
-# Keys above this share of the table are looked for, so there can be at most as many hot keys.
-MAX_HOT_KEYS = 1024
-# Counters of the frequent-items sketch: with 16 per key searched for, no such key can be missed.
-_TRACKED = 16 * MAX_HOT_KEYS
+# The largest keys are split. One beyond these has less than a ten-thousandth of the rows, which a task can take.
+MAX_HOT_KEYS = 10_000
+# Salts per task-sized piece of a key: with only one, two pieces would often land in the same partition.
+_SALTS_PER_PIECE = 4
 
 
 @dataclass(frozen=True)
@@ -33,65 +33,74 @@ class HotKeys:
         hit = F.coalesce(column.isin(values), F.lit(False)) if values else F.lit(False)
         return hit | column.isNull() if None in self.rows else hit
 
+    def without_null(self) -> HotKeys:
+        return HotKeys(self.column, {k: n for k, n in self.rows.items() if k is not None}, self.rows_per_task)
+
     @property
     def pieces(self) -> int:
         """Tasks it takes to spread all hot rows evenly."""
         return max(2, math.ceil(sum(self.rows.values()) / self.rows_per_task))
 
     @property
-    def pieces_per_key(self) -> int:
-        return max(2, math.ceil(max(self.rows.values()) / self.rows_per_task))
+    def salts(self) -> int:
+        return _SALTS_PER_PIECE * max(2, math.ceil(max(self.rows.values()) / self.rows_per_task))
+
+    def salted(self, spread: Sequence[str]) -> Column:
+        """A salt from 0 to ``salts`` - 1 for rows of a hot key, 0 for others."""
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(self.salts)).cast("int")
+        return F.when(self.matches(F.col(self.column)), salt).otherwise(F.lit(0))
+
+    def every_salt(self) -> Column:
+        """All salts a row of the same key on the other side may have."""
+        repeats = F.sequence(F.lit(0), F.lit(self.salts - 1))
+        return F.explode(F.when(self.matches(F.col(self.column)), repeats).otherwise(F.array(F.lit(0))))
 
 
 def find_hot_keys(df: DataFrame, column: str, rows_per_task: int) -> HotKeys:
-    """Keys (null included) with more rows than one task should take.
+    """Keys (null included) with more rows than one task should take, at most the ``MAX_HOT_KEYS`` largest.
 
-    One pass over one column: a frequent-items sketch per task, merged into a single row of at most
-    ``MAX_HOT_KEYS`` entries. The counts only steer how work is split; no result depends on them.
+    One pass over one column: tasks count their own keys, counts are merged by key, and only the largest few reach the
+    driver. They steer how work is split; no result depends on them.
     """
-    found = df.agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col(column).isNull()).alias("nulls"),
-        F.expr(f"approx_top_k(`{column}`, {MAX_HOT_KEYS}, {_TRACKED})").alias("top"),
-    ).first()
-    limit = max(rows_per_task, found["rows"] // MAX_HOT_KEYS)
-    rows = {t["item"]: t["count"] for t in found["top"] or [] if t["item"] is not None and t["count"] > limit}
-    if found["nulls"] > limit:
-        rows[None] = found["nulls"]
-    return HotKeys(column, rows, rows_per_task)
+    counts = df.groupBy(column).agg(F.count("*").alias("rows"))
+    largest = counts.filter(F.col("rows") > rows_per_task).orderBy(F.desc("rows")).limit(MAX_HOT_KEYS)
+    return HotKeys(column, {row[0]: row[1] for row in largest.collect()}, rows_per_task)
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], out: str, hot: HotKeys) -> DataFrame:
-    """``row_number`` per key, with a hot key's rows numbered by many tasks.
+    """``row_number`` per key, with a hot key's rows numbered by many tasks. The last of ``order_by`` is unique.
 
-    Hot rows are range-partitioned on (key, order), so one key spans many equal slices in order; each slice is numbered
-    on its own and shifted by the rows of the slices before it. The slices are written once, because both the sizes and
-    the rows must see the same boundaries even if an executor is lost in between.
+    The order columns of the hot rows are range-partitioned on (key, order), so one key spans many equal slices in
+    order; each slice is numbered on its own and shifted by the rows of the slices before it. The numbers then join the
+    hot rows by the unique column, evenly spread. Input and slices are written once: what leads to the input is not
+    computed for every step, and sizes and rows see the same slice boundaries even if an executor is lost in between.
     """
-    key, order = hot.column, [F.col(c).asc_nulls_last() for c in order_by]
+    key, order, unique = hot.column, [F.col(c).asc_nulls_last() for c in order_by], order_by[-1]
     whole = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     if not hot:
         return df.withColumn(out, whole)
 
+    df = materialized(df)
     is_hot = hot.matches(F.col(key))
     cold = df.filter(~is_hot).withColumn(out, whole)
     sliced = materialized(
         df.filter(is_hot)
+        .select(key, *order_by)
         .repartitionByRange(hot.pieces, F.col(key).asc_nulls_last(), *order)
         .withColumn("_slice", F.spark_partition_id())
     )
     # One row per slice and key in it: at most hot.pieces + len(hot.rows), whatever the data.
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (
-        sliced.groupBy(key, "_slice").agg(F.count("*").alias("_n"))
-        .select(F.col(key).alias("_key"), F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
+    shift = sliced.groupBy(key, "_slice").agg(F.count("*").alias("_n")).select(
+        F.col(key).alias("_key"), F.col("_slice").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift")
     )
     within = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
-    numbered = (
+    numbers = (
         sliced.withColumn("_within", within)
         .join(F.broadcast(shift), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_of")))
-        .withColumn(out, (F.col("_within") + F.col("_shift")).cast("int"))
+        .select(F.col(unique).alias("_unique"), (F.col("_within") + F.col("_shift")).cast("int").alias(out))
     )
+    numbered = df.filter(is_hot).join(numbers, F.col(unique).eqNullSafe(F.col("_unique")))
     return cold.unionByName(numbered.select(*cold.columns))
 
 
@@ -103,13 +112,22 @@ def left_join_many(left: DataFrame, right: DataFrame, hot: HotKeys, spread: Sequ
     none are dropped and nothing else changes. The salt depends only on the input split and the row's ``spread``
     columns: a repeated task gives the same salts, and exact copies of a row are still spread.
     """
-    key = hot.column
-    hot = HotKeys(key, {k: n for k, n in hot.rows.items() if k is not None}, hot.rows_per_task)  # null meets nothing
+    hot = hot.without_null()  # a null key meets nothing
+    if not hot:
+        return left.join(right, hot.column, "left")
+    split = right.withColumn("_split", F.spark_partition_id())
+    salted = split.withColumn("_salt", hot.salted(["_split", *spread])).drop("_split").withColumn("_met", F.lit(True))
+    joined = left.withColumn("_salt", hot.every_salt()).join(salted, [hot.column, "_salt"], "left")
+    return joined.filter(~hot.matches(F.col(hot.column)) | F.col("_met")).drop("_salt", "_met")
+
+
+def left_join_few(left: DataFrame, right: DataFrame, hot: HotKeys, spread: Sequence[str]) -> DataFrame:
+    """``left`` with very many rows of some keys, left-joined to a right side with few rows per key.
+
+    Left rows of a hot key are spread over salts and the key's right rows are repeated for each. Null keys meet nothing
+    and are spread all the same.
+    """
     if not hot:
-        return left.join(right, key, "left")
-    salts = hot.pieces_per_key
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in spread]), F.lit(salts)).cast("int")
-    salted = right.withColumn("_salt", F.when(hot.matches(F.col(key)), salt).otherwise(F.lit(0))).withColumn("_met", F.lit(True))
-    repeats = F.when(hot.matches(F.col(key)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    joined = left.withColumn("_salt", F.explode(repeats)).join(salted, [key, "_salt"], "left")
-    return joined.filter(~hot.matches(F.col(key)) | F.col("_met")).drop("_salt", "_met")
+        return left.join(right, hot.column, "left")
+    repeated = right.withColumn("_salt", hot.every_salt())
+    return left.withColumn("_salt", hot.salted(spread)).join(repeated, [hot.column, "_salt"], "left").drop("_salt")

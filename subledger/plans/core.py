@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.functions import days_between, flag, month_of, safe_divide
+from subledger.operators import HotKeys, left_join_few
 from subledger.plans.staging import ACTIVE
 from subledger.settings import Settings
 
@@ -48,11 +49,13 @@ def customer_subscriptions(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def customers(unified: DataFrame, orders: DataFrame, subscriptions: DataFrame, settings: Settings) -> DataFrame:
+def customers(
+    unified: DataFrame, orders: DataFrame, subscriptions: DataFrame, hot_ids: HotKeys, settings: Settings
+) -> DataFrame:
     """Customer 360. Both right sides have one row per customer, so customers keep theirs."""
+    ordered = left_join_few(unified, customer_orders(orders), hot_ids, spread=["customer_email"])
     return (
-        unified.join(customer_orders(orders), "shopify_customer_id", "left")
-        .join(customer_subscriptions(subscriptions), "shopify_customer_id", "left")
+        left_join_few(ordered, customer_subscriptions(subscriptions), hot_ids, spread=["customer_email"])
         .select(
             F.col("shopify_customer_id").alias("customer_id"),
             "customer_email",
@@ -78,13 +81,13 @@ def customers(unified: DataFrame, orders: DataFrame, subscriptions: DataFrame, s
     )
 
 
-def acquisition(shop_customers: DataFrame, orders: DataFrame) -> DataFrame:
+def acquisition(shop_customers: DataFrame, orders: DataFrame, hot_ids: HotKeys) -> DataFrame:
     """The three columns of the customer dimension that order facts need, without building the rest of it.
 
     ``shop_customers`` has the dimension's rows: its joins neither add nor drop any.
     """
-    ids = shop_customers.select("shopify_customer_id")
-    return ids.join(customer_orders(orders), "shopify_customer_id", "left").select(
+    ids = shop_customers.select("shopify_customer_id", "customer_email")
+    return left_join_few(ids, customer_orders(orders), hot_ids, spread=["customer_email"]).select(
         F.col("shopify_customer_id").alias("customer_id"), "acquisition_cohort_month", "acquisition_channel"
     )
 
@@ -150,10 +153,13 @@ def charge_facts(charges: DataFrame) -> DataFrame:
     )
 
 
-def order_facts(orders: DataFrame, acquired: DataFrame) -> DataFrame:
+def order_facts(orders: DataFrame, acquired: DataFrame, hot_customers: HotKeys) -> DataFrame:
     """Enriched orders with the customer's cohort and first channel; both null for customers not in the dimension."""
-    attributes = acquired.select("customer_id", "acquisition_cohort_month", "acquisition_channel")
-    return orders.withColumnRenamed("shopify_customer_id", "customer_id").join(attributes, "customer_id", "left").select(
+    attributes = acquired.select(
+        F.col("customer_id").alias(hot_customers.column), "acquisition_cohort_month", "acquisition_channel"
+    )
+    joined = left_join_few(orders, attributes, hot_customers, spread=["order_id"])
+    return joined.withColumnRenamed("shopify_customer_id", "customer_id").select(
         "order_id",
         "order_number",
         "customer_id",
@@ -201,10 +207,11 @@ def monthly_price(price: Column, interval_days: Column, settings: Settings) -> C
     return F.round(price * months, 2)
 
 
-def subscription_facts(subscriptions: DataFrame, charges: DataFrame, settings: Settings) -> DataFrame:
+def subscription_facts(subscriptions: DataFrame, charges: DataFrame, hot_ids: HotKeys, settings: Settings) -> DataFrame:
     created, ended = F.col("subscription_created_at_utc"), F.col("subscription_cancelled_at_utc")
     recurring = monthly_price(F.col("subscription_price"), F.col("charge_interval_days"), settings)
-    joined = subscriptions.join(charge_totals(charges, "subscription_id"), "subscription_id", "left")
+    totals = charge_totals(charges, "subscription_id")
+    joined = left_join_few(subscriptions, totals, hot_ids, spread=["recharge_customer_id", "subscription_created_at_utc"])
     return joined.select(
         "subscription_id",
         F.col("shopify_customer_id").alias("customer_id"),

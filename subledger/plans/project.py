@@ -77,15 +77,30 @@ class Project:
     def stg_stripe__refunds(self) -> DataFrame:
         return staging.payment_refunds(self.source.read("stripe", "raw_stripe__refunds"))
 
-    # Keys too large for one task. Looked for in the raw columns, where the search reads one column and shuffles nothing.
+    # Keys too large for one task. Looked for in the raw tables, where the search reads one column and joins nothing.
+
+    def _hot(self, system: str, table: str, column: str, name: str) -> HotKeys:
+        keys = self.source.read(system, table).select(F.col(column).alias(name))
+        return find_hot_keys(keys, name, self.settings.rows_per_task)
 
     @cached_property
     def hot_customers(self) -> HotKeys:
-        raw = self.source.read("shopify", "raw_shopify__orders").select(F.col("customer_id").alias("shopify_customer_id"))
-        return find_hot_keys(raw, "shopify_customer_id", self.settings.rows_per_task)
+        """Customers with very many orders."""
+        return self._hot("shopify", "raw_shopify__orders", "customer_id", "shopify_customer_id")
+
+    @cached_property
+    def hot_customer_ids(self) -> HotKeys:
+        """Ids many customer records share, such as a missing one."""
+        return self._hot("shopify", "raw_shopify__customers", "id", "shopify_customer_id")
+
+    @cached_property
+    def hot_subscription_ids(self) -> HotKeys:
+        """Ids many subscription records share."""
+        return self._hot("recharge", "raw_recharge__subscriptions", "id", "subscription_id")
 
     @cached_property
     def hot_paid_orders(self) -> HotKeys:
+        """Orders with very many successful charges."""
         payments = intermediate.successful_payments(self.stg_stripe__charges).select("order_id")
         return find_hot_keys(payments, "order_id", self.settings.rows_per_task)
 
@@ -120,7 +135,8 @@ class Project:
     @cached_property
     def dim_customers(self) -> DataFrame:
         return core.customers(
-            self.int_customers__unified, self.valid_orders, self.stg_recharge__subscriptions, self.settings
+            self.int_customers__unified, self.valid_orders, self.stg_recharge__subscriptions, self.hot_customer_ids,
+            self.settings,
         )
 
     @cached_property
@@ -136,15 +152,17 @@ class Project:
         """Cohort and first channel per customer: from the customer dimension where that is written already."""
         if "dim_customers" in self.written:
             return self.dim_customers
-        return core.acquisition(self.stg_shopify__customers, self.valid_orders)
+        return core.acquisition(self.stg_shopify__customers, self.valid_orders, self.hot_customer_ids)
 
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return core.order_facts(self.int_orders__enriched, self.acquired)
+        return core.order_facts(self.int_orders__enriched, self.acquired, self.hot_customers)
 
     @cached_property
     def fct_subscriptions(self) -> DataFrame:
-        return core.subscription_facts(self.stg_recharge__subscriptions, self.stg_recharge__charges, self.settings)
+        return core.subscription_facts(
+            self.stg_recharge__subscriptions, self.stg_recharge__charges, self.hot_subscription_ids, self.settings
+        )
 
     @cached_property
     def fct_charges(self) -> DataFrame:

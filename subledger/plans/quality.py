@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subledger.plans.core import as_of
-from subledger.plans.project import Project
 from subledger.settings import Settings
 
 
@@ -30,8 +29,12 @@ def outside(df: DataFrame, column: str, accepted: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose key has no parent; a null key refers to nothing and passes."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    """Child rows whose key has no parent; a null key refers to nothing and passes.
+
+    Parent keys are not made distinct first: with a plain shuffle on both sides, adaptive execution can split a key that
+    very many children share.
+    """
+    keys = parent.select(F.col(parent_column).alias(column))
     return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
@@ -173,7 +176,3 @@ def report(table: Callable[[str], DataFrame]) -> DataFrame:
             parts.append(_row_checks(df, by_row))
         parts += [_unique_check(df, c) for c in checks if not c.violated]
     return reduce(DataFrame.unionByName, parts)
-
-
-def project_report(project: Project) -> DataFrame:
-    return report(project.table)

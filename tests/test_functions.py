@@ -20,6 +20,18 @@ def test_shop_clock_follows_daylight_saving_and_ignores_the_printed_offset(rows)
     ]
 
 
+def test_shop_clock_is_the_same_in_any_session_zone(spark, rows):
+    hours = [f"2024-{m:02d}-{d:02d}T{h:02d}:30:00-05:00" for m, d in ((3, 10), (11, 3), (7, 4)) for h in range(24)]
+    df = rows("t string", *[(t,) for t in hours])
+    in_utc = one(df, fn.zone_to_utc(F.col("t"), "America/New_York").cast("string"))
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert one(df, fn.zone_to_utc(F.col("t"), "America/New_York").cast("string")) == in_utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert in_utc[2] == "2024-03-10 07:30:00" and in_utc[24 + 1] == "2024-11-03 05:30:00"  # skipped and doubled hours
+
+
 def test_wall_clock_drops_the_zone(rows):
     df = rows("t string", ("2024-07-01T10:00:00Z",), ("2024-07-01T10:00:00-05:00",))
     assert one(df, fn.wall_clock(F.col("t"))) == [dt.datetime(2024, 7, 1, 10)] * 2
@@ -65,10 +77,10 @@ def test_cents_and_money_round_half_up(rows):
 def test_url_parameters(rows):
     df = rows(
         "u string", ("/?utm_source=google&utm_medium=cpc",), ("/?utm_source=&utm_medium=cpc",), ("/?utmXsource=q",), ("/",),
-        (None,), ("/?utm_medium=a%20b&x=1",),
+        (None,), ("/?utm_medium=a%20b&x=1",), ("/?utm_source=a&utm_source=b",), ("/?utm_source=autm_source=b",),
     )
-    assert one(df, fn.url_parameter(F.col("u"), "utm_source")) == ["google", "", "", None, None, None]
-    assert one(df, fn.url_parameter(F.col("u"), "utm_medium")) == ["cpc", "cpc", None, None, None, "a%20b"]
+    assert one(df, fn.url_parameter(F.col("u"), "utm_source")) == ["google", "", "", None, None, None, "a", "a"]
+    assert one(df, fn.url_parameter(F.col("u"), "utm_medium")) == ["cpc", "cpc", None, None, None, "a%20b", None, None]
 
 
 def test_blanks(rows):

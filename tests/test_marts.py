@@ -310,6 +310,28 @@ def test_report_without_subscriptions_has_every_month(spark, settings):
     assert len(got) == 24 and {r.active_subscriptions for r in got} == {0}
 
 
+def same(a, b):
+    assert a.dtypes == b.dtypes
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_ids_many_records_share(spark, settings):
+    rng = random.Random(2)
+    key = lambda: rng.choice([1, 1, None, rng.randrange(2, 20)])
+    tables = {
+        "raw_shopify__customers": [{"id": key(), "email": f"{i}@x"} for i in range(400)],
+        "raw_shopify__orders": [order(i, customer=key()) for i in range(100)],
+        "raw_recharge__subscriptions": [
+            {**subscription(key(), customer=key(), created=f"2024-0{rng.randrange(1, 9)}-01T00:00:00Z"), "customer_id": i} for i in range(400)
+        ],
+        "raw_recharge__charges": [{"id": i, "subscription_id": key(), "status": "SUCCESS", "total_price": 1.0} for i in range(100)],
+    }
+    plain, split = project(spark, settings, **tables), project(spark, replace(settings, rows_per_task=60), **tables)
+    assert set(split.hot_customer_ids.rows) == {1, None} and set(split.hot_subscription_ids.rows) == {1, None}
+    for name in ("dim_customers", "fct_subscriptions", "rpt_subscription_health"):
+        same(getattr(plain, name), getattr(split, name))
+
+
 def test_customers_with_very_many_orders(spark, settings):
     rng = random.Random(1)
     orders = [
@@ -322,6 +344,4 @@ def test_customers_with_very_many_orders(spark, settings):
     split = project(spark, replace(settings, rows_per_task=100), **tables)
     assert not plain.hot_customers and set(split.hot_customers.rows) == {1, None}
     for name in ("int_orders__enriched", "fct_orders"):
-        a, b = getattr(plain, name), getattr(split, name)
-        assert a.dtypes == b.dtypes
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+        same(getattr(plain, name), getattr(split, name))

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from subledger.operators import (
-    HotKeys, date_spine, day_spine, find_hot_keys, keep_first, left_join_many, month_spine, number_rows, total_order,
+    HotKeys, date_spine, day_spine, find_hot_keys, keep_first, left_join_few, left_join_many, month_spine, number_rows, total_order,
 )
 
 
@@ -88,6 +88,17 @@ def test_salted_left_join_equals_the_plain_one(spark, rows_per_task):
     assert table(got.select("k", "l", "r", "x")) == table(left.join(right, "k", "left").select("k", "l", "r", "x"))
 
 
+@pytest.mark.parametrize("rows_per_task", [50, 10**6])
+def test_spread_left_join_equals_the_plain_one(spark, rows_per_task):
+    rng = random.Random(4)
+    left = spark.createDataFrame([(rng.choice([3, 3, 8, None, None, rng.randrange(20, 60)]), i) for i in range(2000)], "k int, l int")
+    right = spark.createDataFrame([(k, f"r{k}") for k in [None, 3, 3, *range(20, 40)]], "k int, r string")
+    hot = find_hot_keys(left, "k", rows_per_task)
+    assert bool(hot) == (rows_per_task == 50)
+    got = left_join_few(left, right, hot, spread=["l"])
+    assert table(got.select("k", "l", "r")) == table(left.join(right, "k", "left").select("k", "l", "r"))
+
+
 def test_spines(spark):
     days = date_spine(spark, dt.date(2023, 12, 1), dt.date(2026, 6, 30))
     assert days.count() == 942
