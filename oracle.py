@@ -400,7 +400,7 @@ ORACLES: dict[str, str] = {
         select order_id, shopify_customer_id from enriched
         where shopify_customer_id is not null
             and not exists (from s_customers c where c.shopify_customer_id = enriched.shopify_customer_id)""",
-    "dq_expression": f"select order_id, {_M('net_c')} as net_revenue from s_orders where net_c < 200000",
+    "dq_expression": f"select order_id, {_M('settled_c')} as stripe_net_settled from reconciled where settled_c < 0",
     "dq_recency": f"""
         select max(order_created_at_utc) as most_recent, {AS_OF} - interval 3 day as threshold
         from s_orders having max(order_created_at_utc) < {AS_OF} - interval 3 day""",

@@ -7,6 +7,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, SparkSession
 
 from subledger.plans.project import CORE, INTERMEDIATE, REPORTING, STAGING, Project
+from subledger.sources import RAW_TABLES, Source
 
 # Month columns the facts are partitioned by, so that a report on some months reads only those.
 PARTITIONS = {"fct_orders": "order_month", "fct_charges": "charge_month"}
@@ -50,6 +51,13 @@ class CatalogSink:
         return self.spark.table(f"{layer}.{name}").select(*df.columns)
 
 
+def load_raw(source: Source, sink: Sink) -> None:
+    """Copy the raw tables, for instance headed CSV files, into typed tables of the layer ``raw``."""
+    for system, tables in RAW_TABLES.items():
+        for table in tables:
+            sink.write(source.read(system, table), "raw", table, None)
+
+
 def build(project: Project, sink: Sink) -> Project:
     """Write everything, each table from the written ones before it, and return the project reading those."""
 

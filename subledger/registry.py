@@ -85,7 +85,9 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "dq_relationships": lambda p: quality.orphans(
         p.valid_orders, "shopify_customer_id", p.stg_shopify__customers, "shopify_customer_id"
     ).select("order_id", "shopify_customer_id"),
-    "dq_expression": lambda p: quality.failing(p.stg_shopify__orders, F.col("net_revenue") >= 2000).select("order_id", "net_revenue"),
+    "dq_expression": lambda p: quality.failing(p.int_payments__reconciled, F.col("stripe_net_settled") >= 0).select(
+        "order_id", "stripe_net_settled"
+    ),
     "dq_recency": lambda p: quality.stale(p.stg_shopify__orders, "order_created_at_utc", p.settings.recency_days, p.settings),
     "dq_tolerance": lambda p: quality.disagreeing_months(p.rpt_revenue_reconciliation, p.settings),
     "dq_report": lambda p: quality.report(build(p, ParquetSink(p.spark, run_folder(p.spark))).table),

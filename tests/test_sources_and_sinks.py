@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from raw import SYSTEM, source
 from subledger import Project
 from subledger.plans.project import CORE, REPORTING
-from subledger.plans.warehouse import CatalogSink, ParquetSink, build
+from subledger.plans.warehouse import CatalogSink, ParquetSink, build, load_raw
 from subledger.registry import RETAIL
 from subledger.session import materialized, shared_folder
 from subledger.sources import RAW_TABLES, CatalogSource, CsvSource, ParquetSource, RetailSource, raw_schema
@@ -41,6 +41,17 @@ def test_csv_with_bad_numbers_fails(spark, tmp_path):
         CsvSource(spark, str(tmp_path)).read("stripe", "raw_stripe__refunds").collect()
 
 
+def test_csv_files_become_typed_tables(spark, settings, tmp_path):
+    (tmp_path / "csv").mkdir()
+    for table in SYSTEM:
+        write_csv(tmp_path / "csv", table, *([{"id": 1, "created_at": "2024-01-01T00:00:00-05:00", "total_price": "32.24"}]
+                                             if table == "raw_shopify__orders" else []))
+    load_raw(CsvSource(spark, str(tmp_path / "csv")), ParquetSink(spark, str(tmp_path / "tables")))
+    p = Project(ParquetSource(spark, str(tmp_path / "tables" / "raw")), settings)
+    assert str(p.stg_shopify__orders.first().gross_revenue) == "32.24"
+    assert p.rpt_subscription_health.count() == 24 and p.fct_subscriptions.count() == 0
+
+
 @pytest.mark.skipif(not REFUNDS.exists(), reason="published seed not at hand")
 def test_published_refunds(spark, settings):
     refunds = Project(CsvSource(spark, str(REFUNDS.parent)), settings).stg_stripe__refunds
