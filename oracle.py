@@ -478,8 +478,8 @@ ORACLES: dict[str, str] = {
                 date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
                 count(distinct customer_id) as customers_active
             from f_orders where acquisition_cohort_month is not null group by all)
-        select a.*, b.customers_active as cohort_size, {half_up('a.customers_active', 'b.customers_active', 4)} as retention_rate
-        from seen a left join seen b on b.cohort_month = a.cohort_month and b.months_since_first_order = 0
+        select a.*, b.customers_active as cohort_size, round(a.customers_active / b.customers_active, 4) as retention_rate
+        from seen a join seen b on b.cohort_month = a.cohort_month and b.months_since_first_order = 0
             and b.acquisition_channel is not distinct from a.acquisition_channel""",
     "channel_first_vs_repeat": f"""
         select channel, is_first_order, count(*) as orders, {_M('sum(net_c)')} as net_revenue from f_orders group by all""",

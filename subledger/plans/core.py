@@ -158,8 +158,19 @@ def order_facts(orders: DataFrame, acquired: DataFrame, hot_customers: HotKeys)
     attributes = acquired.select(
         F.col("customer_id").alias(hot_customers.column), "acquisition_cohort_month", "acquisition_channel"
     )
-    joined = left_join_few(orders, attributes, hot_customers, spread=["order_id"])
-    return joined.withColumnRenamed("shopify_customer_id", "customer_id").select(
+    return order_fact_columns(left_join_few(orders, attributes, hot_customers, spread=["order_id"]))
+
+
+def order_facts_from_history(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
+    """The same for orders that carry their customer's attributes already; customers not in the dimension lose them."""
+    known = shop_customers.select("shopify_customer_id", F.lit(True).alias("known"))
+    joined = orders.join(known, "shopify_customer_id", "left")
+    kept = {c: F.when(F.col("known"), F.col(c)) for c in ("acquisition_cohort_month", "acquisition_channel")}
+    return order_fact_columns(joined.withColumns(kept))
+
+
+def order_fact_columns(orders: DataFrame) -> DataFrame:
+    return orders.withColumnRenamed("shopify_customer_id", "customer_id").select(
         "order_id",
         "order_number",
         "customer_id",

@@ -57,16 +57,22 @@ def active_change(health: DataFrame) -> DataFrame:
     ).orderBy("report_month")
 
 
-def cohort_value(orders: DataFrame, acquired: DataFrame) -> DataFrame:
-    """Cumulative net revenue per cohort and month since first order, in total and per customer of the cohort."""
-    monthly = orders.groupBy(
-        F.col("shopify_customer_id").alias("customer_id"), month_of(F.col("order_created_at_utc")).alias("order_month")
-    ).agg(F.sum("net_revenue").alias("net_revenue"))
-    cohort = F.col("acquisition_cohort_month")
+def cohort_value(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
+    """Cumulative net revenue per cohort and month since first order, in total and per customer of the cohort.
+
+    Orders are summed by customer and month first; the cohort is the earliest of a customer's few rows.
+    """
+    placed = F.col("order_created_at_utc")
+    monthly = orders.groupBy(F.col("shopify_customer_id").alias("customer_id"), month_of(placed).alias("order_month")).agg(
+        F.sum("net_revenue").alias("net_revenue")
+    )
+    cohort = F.min("order_month").over(Window.partitionBy("customer_id"))
+    ids = shop_customers.select(F.col("shopify_customer_id").alias("customer_id"))
     spent = (
-        monthly.join(acquired.select("customer_id", "acquisition_cohort_month").distinct(), "customer_id")
-        .filter(cohort.isNotNull())
-        .groupBy(cohort.alias("cohort_month"), months_between(cohort, F.col("order_month")).alias("months_since_first_order"))
+        monthly.join(ids, "customer_id", "left_semi")
+        .withColumn("cohort_month", cohort)
+        .filter(F.col("cohort_month").isNotNull())
+        .groupBy("cohort_month", months_between(F.col("cohort_month"), F.col("order_month")).alias("months_since_first_order"))
         .agg(F.sum("net_revenue").alias("net_revenue"), F.count("*").alias("customers_active"))
     )
     by_cohort = Window.partitionBy("cohort_month")
@@ -137,28 +143,6 @@ def dunning_recovery(charges: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def retention_by_channel(orders: DataFrame, acquired: DataFrame) -> DataFrame:
-    """Cohort retention within each first channel."""
-    months = orders.select(
-        F.col("shopify_customer_id").alias("customer_id"), month_of(F.col("order_created_at_utc")).alias("order_month")
-    ).distinct()
-    cohort = F.col("acquisition_cohort_month")
-    counts = (
-        months.join(acquired.distinct(), "customer_id")
-        .filter(cohort.isNotNull())
-        .groupBy("acquisition_channel", cohort.alias("cohort_month"),
-                 months_between(cohort, F.col("order_month")).alias("months_since_first_order"))
-        .agg(F.count("*").alias("customers_active"))
-    )
-    segment = Window.partitionBy("acquisition_channel", "cohort_month")
-    size = F.max(F.when(F.col("months_since_first_order") == 0, F.col("customers_active"))).over(segment)
-    return (
-        counts.withColumn("cohort_size", size)
-        .withColumn("retention_rate", safe_divide(F.col("customers_active"), F.col("cohort_size")))
-        .orderBy("acquisition_channel", "cohort_month", "months_since_first_order")
-    )
-
-
 def channel_orders(orders: DataFrame) -> DataFrame:
     """First and repeat orders by the channel of the order itself."""
     return (

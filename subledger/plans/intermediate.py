@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.functions import month_of
@@ -68,11 +68,30 @@ def valid_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def enriched_orders(orders: DataFrame, line_items: DataFrame, hot_customers: HotKeys) -> DataFrame:
+HISTORY = ["order_created_at_utc", "order_id"]
+
+
+def order_history(orders: DataFrame, line_items: DataFrame, hot_customers: HotKeys) -> DataFrame:
     """Valid orders with what was in them and their place in the customer's history."""
     joined = valid_orders(orders).join(order_items(line_items), "order_id", "left")
-    numbered = number_rows(joined, ["order_created_at_utc", "order_id"], "customer_order_sequence", hot_customers)
-    return numbered.select(
+    return number_rows(joined, HISTORY, "customer_order_sequence", hot_customers)
+
+
+def with_acquisition(history: DataFrame) -> DataFrame:
+    """Cohort and first channel beside every order, over the partitions and the order the sequence was numbered in.
+
+    For customers whose orders fit one task. The first row has the earliest time, or none if all are undated.
+    """
+    so_far = Window.partitionBy("shopify_customer_id").orderBy(*[F.col(c).asc_nulls_last() for c in HISTORY])
+    all_orders = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return history.withColumns({
+        "acquisition_cohort_month": month_of(F.first("order_created_at_utc").over(so_far)),
+        "acquisition_channel": F.first("channel", ignorenulls=True).over(all_orders),
+    })
+
+
+def enriched_orders(history: DataFrame, *extra: str) -> DataFrame:
+    return history.select(
         "order_id",
         "order_number",
         "shopify_customer_id",
@@ -97,6 +116,7 @@ def enriched_orders(orders: DataFrame, line_items: DataFrame, hot_customers: Hot
         "utm_source",
         "utm_medium",
         "channel",
+        *extra,
     )
 
 

@@ -118,11 +118,15 @@ class Project:
         return intermediate.valid_orders(self.stg_shopify__orders)
 
     @cached_property
-    def int_orders__enriched(self) -> DataFrame:
-        return intermediate.enriched_orders(
+    def order_history(self) -> DataFrame:
+        return intermediate.order_history(
             self.stg_shopify__orders, self.stg_shopify__order_line_items, self.hot_customers
         )
 
+    @cached_property
+    def int_orders__enriched(self) -> DataFrame:
+        return intermediate.enriched_orders(self.order_history)
+
     @cached_property
     def int_payments__reconciled(self) -> DataFrame:
         return intermediate.reconciled_payments(
@@ -156,6 +160,10 @@ class Project:
 
     @cached_property
     def fct_orders(self) -> DataFrame:
+        if not self.written and not self.hot_customers:
+            history = intermediate.with_acquisition(self.order_history)
+            orders = intermediate.enriched_orders(history, "acquisition_cohort_month", "acquisition_channel")
+            return core.order_facts_from_history(orders, self.stg_shopify__customers)
         return core.order_facts(self.int_orders__enriched, self.acquired, self.hot_customers)
 
     @cached_property

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.functions import flag, month_of, months_between, safe_divide
 from subledger.operators import month_deltas, month_spine, running_levels
-from subledger.plans.core import charge_totals
+from subledger.plans.core import charge_totals, first_touch
 from subledger.plans.intermediate import MISMATCH, NO_MATCH, ORPHANED, RECONCILED
 from subledger.settings import Settings
 
 
 def customer_months(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
-    """The months in which a customer of the dimension ordered, with the customer's cohort.
+    """The months in which a customer of the dimension ordered, with the customer's cohort and first channel.
 
     The same rows as the distinct of the order facts, from one aggregate instead of a join of orders with their own
     totals. A customer's set of months is bounded by the calendar, however many orders there are.
@@ -23,18 +24,19 @@ def customer_months(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
     month = month_of(F.col("order_created_at_utc"))
     per_customer = orders.groupBy(F.col("shopify_customer_id").alias("customer_id")).agg(
         month_of(F.min("order_created_at_utc")).alias("acquisition_cohort_month"),
+        first_touch(F.col("channel"), F.col("order_created_at_utc"), F.col("order_id")).alias("acquisition_channel"),
         F.collect_set(month).alias("months"),
         F.count_if(F.col("order_created_at_utc").isNull()).alias("undated"),
     )
     ids = shop_customers.select(F.col("shopify_customer_id").alias("customer_id"))
     months = F.when(F.col("undated") > 0, F.array_append("months", F.lit(None).cast("date"))).otherwise(F.col("months"))
     return per_customer.join(ids, "customer_id", "left_semi").select(
-        "customer_id", "acquisition_cohort_month", F.explode(months).alias("order_month")
+        "customer_id", "acquisition_cohort_month", "acquisition_channel", F.explode(months).alias("order_month")
     )
 
 
-def cohort_retention(active_months: DataFrame) -> DataFrame:
-    """Share of each cohort that orders again n months later.
+def cohort_retention(active_months: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Share of each cohort that orders again n months later, if asked within each value of further columns.
 
     Rows are distinct by customer and month, so counting customers is counting rows. The cohort's size is its own
     month 0; cohorts without one, and customers without a cohort, drop out.
@@ -42,22 +44,23 @@ def cohort_retention(active_months: DataFrame) -> DataFrame:
     offset = months_between(F.col("acquisition_cohort_month"), F.col("order_month"))
     counts = (
         active_months.filter(F.col("acquisition_cohort_month").isNotNull())
-        .groupBy(F.col("acquisition_cohort_month").alias("cohort_month"), offset.alias("months_since_first_order"))
+        .groupBy(*within, F.col("acquisition_cohort_month").alias("cohort_month"), offset.alias("months_since_first_order"))
         .agg(F.count("customer_id").alias("customers_active"))
     )
     start = F.when(F.col("months_since_first_order") == 0, F.col("customers_active"))
-    size = F.max(start).over(Window.partitionBy("cohort_month"))
+    size = F.max(start).over(Window.partitionBy(*within, "cohort_month"))
     return (
         counts.withColumn("cohort_size", size)
         .filter(F.col("cohort_size").isNotNull())
         .select(
+            *within,
             "cohort_month",
             "months_since_first_order",
             "cohort_size",
             "customers_active",
             F.round(F.col("customers_active").cast("double") / F.col("cohort_size"), 4).alias("retention_rate"),
         )
-        .orderBy("cohort_month", "months_since_first_order")
+        .orderBy(*within, "cohort_month", "months_since_first_order")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from raw import source
 from subledger import Project
-from subledger.plans import reporting
+from subledger.plans import core, reporting
 
 
 def order(id, customer=1, day="2024-01-10", status="paid", site=None, total=10.0, time="12:00:00", **more):
@@ -237,6 +237,16 @@ def test_cohort_retention_is_the_same_from_the_order_facts(spark, settings):
     assert reporting.cohort_retention(months).collect() == p.rpt_monthly_cohort_retention.collect()
 
 
+def test_order_facts_in_one_pass_equal_the_join_with_the_dimension(spark, settings):
+    tables = cohort_input()
+    tables["raw_shopify__customers"].append({"id": 2, "email": "other"})  # an id with two records repeats its orders
+    tables["raw_shopify__orders"] += [order(20 + i, customer=1 + i % 5, day=f"2024-05-0{1 + i % 3}", site=site)
+                                      for i, site in enumerate(["/", utm("a"), None, utm("b", "c"), utm(""), "/"] * 3)]
+    p = project(spark, settings, **tables)
+    same(p.fct_orders, core.order_facts(p.int_orders__enriched, p.acquired, p.hot_customers))
+    same(p.fct_orders, core.order_facts(p.int_orders__enriched, p.dim_customers, p.hot_customers))
+
+
 def test_revenue_report(spark, settings):
     p = project(
         spark, settings, raw_shopify__orders=[order(1, total=100.0), order(2, total=100.0), order(3, day="2024-02-03", total=0.0)],

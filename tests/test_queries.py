@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry_point
 from raw import source
 from subledger import Project
-from subledger.plans import intermediate
+from subledger.plans import core, intermediate
 from subledger.registry import REGISTRY, RETAIL
 from subledger.sources import ParquetSource, RetailSource
 
@@ -68,9 +68,19 @@ def test_orders_are_shuffled_once_for_dedup_and_the_join_on_their_id(spark):
     assert text.count("Exchange hashpartitioning") == 3
 
 
-def test_order_facts_share_one_shuffle_of_the_raw_orders(spark):
+def test_order_facts_read_the_raw_orders_once(spark):
     text = joins_without_broadcast(spark, lambda: Project(RetailSource(spark, FOLDER), RETAIL).fct_orders)
-    assert "ReusedExchange" in text
+    assert text.count("orders.parquet") == 1
+    # retries, items twice (dedup, per order), orders and customers by customer, customers by e-mail, and their nation
+    assert text.count("Exchange hashpartitioning") == 8
+
+
+def test_two_readers_of_the_cleaned_orders_share_their_shuffle(spark):
+    def both():
+        p = Project(RetailSource(spark, FOLDER), RETAIL)
+        return core.order_facts(p.int_orders__enriched, p.acquired, p.hot_customers)
+
+    assert "ReusedExchange" in joins_without_broadcast(spark, both)
 
 
 def test_scans_read_only_needed_columns_and_take_the_filters(spark, settings, tmp_path):
