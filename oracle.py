@@ -445,14 +445,20 @@ ORACLES: dict[str, str] = {
         select cohort_month, months_since_first_order, cohort_size, {_M('c')} as net_revenue,
             {_M('total_c')} as cumulative_revenue, {half_up('total_c', 'cohort_size', 0)} / 100 as revenue_per_customer
         from grown""",
-    "channel_value": f"""
+    "ltv_by_channel": f"""
         with channels as (
-            select acquisition_channel, count(*) as customers, count(*) filter (where customer_type = 'subscriber') as subscribers,
-                sum(net_c) as c, cast(sum(lifetime_orders) as bigint) as lifetime_orders
+            select acquisition_channel, count(*) as customers, sum(net_c) as c,
+                cast(sum(lifetime_orders) as bigint) as lifetime_orders
             from d_customers group by all)
-        select * exclude (c), {_M('c')} as lifetime_revenue, {half_up('c', 'customers', 0)} / 100 as revenue_per_customer,
-            {half_up('subscribers', 'customers', 4)} as conversion_rate
+        select * exclude (c), {_M('c')} as lifetime_revenue, {half_up('c', 'customers', 0)} / 100 as revenue_per_customer
         from channels""",
+    "channel_conversion": f"""
+        with channels as (
+            select acquisition_channel, count(*) as customers, count(recharge_customer_id) as subscribers
+            from unified left join (select shopify_customer_id, channel as acquisition_channel from buyers)
+                using (shopify_customer_id)
+            group by all)
+        select *, {half_up('subscribers', 'customers', 4)} as conversion_rate from channels""",
     "refund_rate": f"""
         with monthly as (
             select order_month, coalesce(sum(charge_c) filter (where is_successful), 0) as paid, sum(refund_c) as back,
@@ -472,7 +478,7 @@ ORACLES: dict[str, str] = {
             select charge_month, count(*) as failed_charges, count(*) filter (where recovered) as recovered_charges
             from failed group by all)
         select *, {half_up('recovered_charges', 'failed_charges', 4)} as recovery_rate from monthly""",
-    "retention_by_channel": f"""
+    "retention_by_segment": f"""
         with seen as (
             select acquisition_channel, acquisition_cohort_month as cohort_month,
                 date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,

@@ -18,7 +18,8 @@ BUNDLE_PATTERN, BUNDLE, SINGLE = "%bundle%", "bundle", "single"
 
 
 def as_of(settings: Settings) -> Column:
-    return F.lit(settings.as_of) if settings.as_of else F.current_timestamp()
+    """A zone-free time, so that days are counted alike whatever the session's zone."""
+    return F.lit(settings.as_of.isoformat(" ")).cast("timestamp_ntz") if settings.as_of else F.localtimestamp()
 
 
 def first_touch(channel: Column, when: Column, order_id: Column) -> Column:
@@ -238,7 +239,7 @@ def subscription_facts(subscriptions: DataFrame, charges: DataFrame, hot_ids: Ho
         "subscription_cancelled_at_utc",
         "cancellation_reason",
         "had_status_mismatch",
-        days_between(created, F.coalesce(ended, as_of(settings).cast("timestamp_ntz"))).alias("subscription_duration_days"),
+        days_between(created, F.coalesce(ended, as_of(settings))).alias("subscription_duration_days"),
         F.coalesce("total_charge_attempts", F.lit(0)).alias("total_charge_attempts"),
         F.coalesce("successful_charges", F.lit(0)).alias("successful_charges"),
         F.coalesce("failed_charges", F.lit(0)).alias("failed_charges"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.functions import month_of, months_between, safe_divide
-from subledger.plans.core import monthly_price
+from subledger.plans.core import SUBSCRIBER, monthly_price
 from subledger.plans.reporting import life, report_months
 from subledger.settings import Settings
 
@@ -90,21 +90,25 @@ def cohort_value(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
 
 
 def channel_value(customers: DataFrame) -> DataFrame:
-    """Customers, their value and how many of them subscribe, by first channel."""
-    subscribers = F.count_if(F.col("customer_type") == "subscriber")
+    """Customers and what they spent, by first channel."""
     return (
         customers.groupBy("acquisition_channel")
         .agg(
             F.count("*").alias("customers"),
-            subscribers.alias("subscribers"),
-            F.sum("lifetime_revenue").alias("lifetime_revenue"),
             F.sum("lifetime_orders").alias("lifetime_orders"),
+            F.sum("lifetime_revenue").alias("lifetime_revenue"),
         )
-        .select(
-            "*",
-            safe_divide(F.col("lifetime_revenue"), F.col("customers"), 2).alias("revenue_per_customer"),
-            safe_divide(F.col("subscribers"), F.col("customers")).alias("conversion_rate"),
-        )
+        .withColumn("revenue_per_customer", safe_divide(F.col("lifetime_revenue"), F.col("customers"), 2))
+        .orderBy("acquisition_channel")
+    )
+
+
+def channel_conversion(customers: DataFrame) -> DataFrame:
+    """Share of the customers of each first channel that subscribe."""
+    return (
+        customers.groupBy("acquisition_channel")
+        .agg(F.count("*").alias("customers"), F.count_if(F.col("customer_type") == SUBSCRIBER).alias("subscribers"))
+        .withColumn("conversion_rate", safe_divide(F.col("subscribers"), F.col("customers")))
         .orderBy("acquisition_channel")
     )
 

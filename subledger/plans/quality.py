@@ -45,7 +45,7 @@ def failing(df: DataFrame, condition: Column) -> DataFrame:
 
 def stale(df: DataFrame, column: str, days: int, settings: Settings) -> DataFrame:
     """One row with the newest time when that lies more than ``days`` back."""
-    limit = as_of(settings).cast("timestamp_ntz") - F.expr(f"INTERVAL '{int(days)}' DAY")
+    limit = as_of(settings) - F.expr(f"INTERVAL '{int(days)}' DAY")
     newest = F.col("most_recent")
     return df.agg(F.max(column).alias("most_recent")).withColumn("threshold", limit).filter(newest < F.col("threshold"))
 

@@ -95,10 +95,11 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "churn_mrr_bridge": lambda p: dashboards.mrr_bridge(p.stg_recharge__subscriptions, p.settings),
     "active_mom_change": lambda p: dashboards.active_change(p.rpt_subscription_health),
     "ltv_curve": lambda p: dashboards.cohort_value(p.valid_orders, p.stg_shopify__customers),
-    "channel_value": lambda p: dashboards.channel_value(p.dim_customers),
+    "ltv_by_channel": lambda p: dashboards.channel_value(p.dim_customers),
+    "channel_conversion": lambda p: dashboards.channel_conversion(p.dim_customers),
     "refund_rate": lambda p: dashboards.refund_rate(p.rpt_revenue_reconciliation),
     "dunning_recovery": lambda p: dashboards.dunning_recovery(p.fct_charges, p.settings),
-    "retention_by_channel": lambda p: reporting.cohort_retention(
+    "retention_by_segment": lambda p: reporting.cohort_retention(
         reporting.customer_months(p.valid_orders, p.stg_shopify__customers), within=["acquisition_channel"]
     ),
     "channel_first_vs_repeat": lambda p: dashboards.channel_orders(p.fct_orders),
