@@ -172,6 +172,12 @@ def test_subscription_facts(spark, settings):
     assert got[1].subscription_duration_days == (dt.date(2025, 6, 30) - dt.date(2024, 1, 15)).days
 
 
+def test_without_a_report_time_days_run_to_today(spark, settings):
+    p = project(spark, replace(settings, as_of=None), raw_recharge__subscriptions=[subscription(1)])
+    days = p.fct_subscriptions.first().subscription_duration_days
+    assert abs(days - (dt.datetime.now(dt.timezone.utc).date() - dt.date(2024, 1, 15)).days) <= 1
+
+
 def test_zero_interval_fails_unless_told_otherwise(spark, settings):
     tables = {"raw_recharge__subscriptions": [subscription(1, days=0), subscription(2, status="expired", days=0)]}
     with pytest.raises(ArithmeticException):
