@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,53 @@ def per_batch(
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def per_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
+    function: Callable[[dict[str, np.ndarray], np.ndarray], Mapping[str, np.ndarray]], schema: str,
+) -> DataFrame:
+    """Rows that a function computes from whole groups, many small groups at once.
+
+    The function gets ``columns`` as arrays, ordered by group and ``order``, and the number of each row's group. Groups
+    must be bounded: a task holds one of them and a batch of rows.
+    """
+    names = T.StructType.fromDDL(schema).names
+    arrow = _arrow_schema(df.sparkSession, schema)
+
+    def arrays(table: pa.Table) -> dict[str, np.ndarray]:
+        return {c: np.array(table.column(c).to_pylist(), object) if pa.types.is_binary(table.schema.field(c).type) else table.column(c).to_numpy() for c in columns}
+
+    def compute(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
+        out = function(arrays(table), group)
+        return pa.RecordBatch.from_arrays([pa.array(out[n], arrow.field(n).type) for n in names], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting.append(batch)
+            table = pa.Table.from_batches(waiting)
+            group = _group_numbers(table, keys)
+            last = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next batch
+            if last:
+                yield compute(table.slice(0, last), group[:last])
+                waiting = table.slice(last).to_batches()
+        if waiting:
+            table = pa.Table.from_batches(waiting)
+            yield compute(table, _group_numbers(table, keys))
+
+    used = list(dict.fromkeys([*keys, *order, *columns]))
+    return df.select(*used).repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def _group_numbers(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    changed = np.zeros(table.num_rows, bool)
+    for key in keys:
+        values = table.column(key).to_numpy()
+        changed[1:] |= values[1:] != values[:-1]
+    return np.cumsum(changed)
+
+
 def keep_rows(df: DataFrame, columns: Sequence[str], make: Callable[[], Callable[[Batch], Sequence[bool]]]) -> DataFrame:
     """The rows of ``df``, all columns as they are, for which the function over ``columns`` says true."""
 

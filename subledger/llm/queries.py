@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subledger.llm import quality_rules, token_counts, url_filters, warc
+from subledger.llm import (
+    jaccard_join, language_id, mixing, nearest, packing, quality_rules, token_counts, toxicity, url_filters, warc,
+)
+from subledger.llm.common import held_out
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -20,21 +24,60 @@ def op1_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, folder, "pages"), [*url_filters.RULES, *url_filters.KINDS])
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs.filter(~held_out(F.col("doc_id"))), table(spark, folder, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality(table(spark, folder, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.join(table(spark, folder, "documents"))
+
+
+def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    codes = nearest.index(table(spark, folder, "embeddings"))
+    return nearest.search(codes, F.col("key") % 20 == 0)
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces and their places, with a digest for the ids."""
+    pieces = packing.cut(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.train(docs.filter(~held_out(F.col("doc_id"))))
+    return language_id.predict(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+
+
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.write(table(spark, folder, "pages"))
     return warc.read(archive).drop("payload", "warc")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filters, op3_quality_rules, op6_token_counts, op10_warc)
+    f.__name__: f
+    for f in (
+        op1_url_filters, op2_toxicity, op3_quality_rules, op4_ngram_jaccard_join, op5_nearest_neighbours, op6_token_counts,
+        op7_best_fit_packing, op8_language_id, op9_source_mixing, op10_warc,
+    )
 }
 
 _BASE32_GROUPS = " || ".join(

@@ -27,7 +27,7 @@ LONGEST = 32
 def frequent_pieces(df: DataFrame, path: str, text: str = "text") -> dict[str, int]:
     """The most frequent pieces of a few documents with their numbers of tokens."""
     pieces, tally = Pieces(path), Tally()
-    for row in df.select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).filter("t is not null").limit(SAMPLE_DOCUMENTS).toLocalIterator():
+    for row in df.select(F.substring(text, 1, SAMPLE_CHARS).alias("t")).filter("t is not null").take(SAMPLE_DOCUMENTS):
         for part in pieces.parts(row.t):
             if not isinstance(part, str):
                 tally.update(p for p in part if len(p) <= LONGEST)

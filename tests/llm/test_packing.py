@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from conftest import rows_of
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from subledger.llm.packing import cut, pack, plan_best_fit
+from subledger.llm.queries import op7_best_fit_packing
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def expand(plan, counts, capacity):
+    """Sequence -> [(offset, length)] of all planned slots."""
+    filled = defaultdict(list)
+    for length, runs in plan.items():
+        ends = [r.rank for r in runs[1:]] + [counts[length]]
+        for run, end in zip(runs, ends):
+            for n in range(end - run.rank):
+                filled[run.sequence + n // run.each].append((run.offset + n % run.each * length, length))
+    for slots in filled.values():
+        at = 0
+        for offset, length in sorted(slots):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert sum(map(len, filled.values())) == sum(counts.values())
+    return filled
+
+
+def slow_best_fit(counts, capacity):
+    room = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            fits = [r for r in room if r >= length]
+            if fits:
+                room.remove(min(fits))
+            room.append((min(fits) if fits else capacity) - length)
+    return len(room)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 25), max_size=12))
+def test_plan_is_best_fit(counts):
+    assert len(expand(plan_best_fit(counts, 30), counts, 30)) == slow_best_fit(counts, 30)
+
+
+def test_plan_stays_small():
+    counts = {n: 10**12 + n for n in range(1, 4097)}
+    plan = plan_best_fit(counts, 4096)
+    assert sum(map(len, plan.values())) < 20 * 4096
+
+
+def test_whole_table(spark):
+    library = Tokenizer.from_file(PATH)
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    found = op7_best_fit_packing(spark, "/root/testdata/sf0.001").collect()
+    wanted = set()
+    for doc, text in texts.items():
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = ids[start : start + 4096]
+            wanted.add((doc, piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found} == wanted and len(found) == len(wanted)
+    by = defaultdict(list)
+    for r in found:
+        by[r.sequence_id].append((r.offset, r.length))
+    for slots in by.values():
+        at = 0
+        for offset, length in sorted(slots):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    assert len(by) <= 1.02 * sum(r.length for r in found) / 4096 + 2
+
+
+def test_pieces_hold_their_ids(spark):
+    df = spark.createDataFrame([(1, "one two three four five six seven")], "doc_id bigint, text string")
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in cut(df, PATH, capacity=3).orderBy("piece").collect()])
+    assert ids.tolist() == [*Tokenizer.from_file(PATH).encode("one two three four five six seven", add_special_tokens=False).ids, 1]
+
+
+def test_odd_rows(spark, odd_documents):
+    pieces = cut(odd_documents, PATH)
+    found = pack(pieces.drop("ids"))
+    assert found.filter("doc_id in (2, 3, 4)").select("length").distinct().collect()[0].length == 1
+    assert found.filter("sequence_id is null").count() == 0
+    assert pack(cut(odd_documents.limit(0), PATH)).collect() == []
+    rows = spark.createDataFrame([(None, "a", 1), (0, "b", 1), (11, "c", 1), (4, "d", None), (4, "d", None)], "length bigint, sequence_id string, other int")
+    placed = pack(rows, 10)
+    assert placed.columns == ["length", "other", "sequence_id", "offset"]
+    assert rows_of(placed.filter("length = 4").select("sequence_id", "offset")) == [(0, 0), (0, 4)]
+    assert placed.filter("sequence_id is null").count() == 3
+
+
+def test_one_length_holds_most_rows(spark, monkeypatch):
+    monkeypatch.setattr("subledger.llm.packing.BUCKET_ROWS", 50)
+    rows = spark.range(700).selectExpr("if(id % 3 = 0, 5, id % 11 + 1) as length")
+    found = pack(rows, 16)
+    slots = found.selectExpr("sequence_id * 100 + offset as slot").distinct().count()
+    assert slots == 700
