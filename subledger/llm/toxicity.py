@@ -3,8 +3,10 @@
 Documents are labelled, not sentences, and one toxic sentence makes a document toxic. So a document's score is that of its
 worst sentence, and training alternates between finding each labelled document's worst sentence and fitting a logistic
 regression to those sentences. Only features that toxic documents hold significantly more often take part: a document has
-many sentences, and chance weights on rare words would make the worst of them look bad. For every training sentence that mentions an identity term, a counterfactual copy with
-another term of the same group is made, and the squared difference of the two scores is added to the loss.
+many sentences, and chance weights on rare words would make the worst of them look bad. For every
+training sentence that mentions an identity term, counterfactual copies are made, one with another term of the same group
+and one that names none, and the squared differences of the scores are added to the loss: the first makes groups alike,
+the second keeps the mention itself from counting.
 
 Words count by themselves and by their beginnings, so inflected and compound forms of a known word count as well.
 """
@@ -148,11 +150,12 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(worst, -30, 30))))
 
 
-def swap_terms(sentence: Sequence[str], groups: Sequence[Sequence[str]]) -> list[str] | None:
-    """The sentence with each identity term replaced by the next of its group; None if it has none."""
+def swap_terms(sentence: Sequence[str], groups: Sequence[Sequence[str]]) -> list[list[str]]:
+    """The sentence with each identity term replaced by the next of its group, and without them; none if it has none."""
     following = {t: g[(at + 1) % len(g)] for g in groups for at, t in enumerate(g)}
-    swapped = [following.get(w, w) for w in sentence]
-    return swapped if swapped != list(sentence) else None
+    if not any(w in following for w in sentence):
+        return []
+    return [[following.get(w, w) for w in sentence], [w for w in sentence if w not in following]]
 
 
 class _Rows:
@@ -175,7 +178,7 @@ def fit(labelled: Sequence[tuple[Sequence[str], int]], training: Training, allow
     """Logistic regression on sentences with the counterfactual penalty, by full-batch Adam, on the ``allowed`` buckets."""
     features = Features(training.buckets)
     plain = [s for s, _ in labelled]
-    pairs = [(s, w) for s, w in ((s, swap_terms(s, training.groups)) for s in plain) if w]
+    pairs = [(s, w) for s in plain for w in swap_terms(s, training.groups)]
     rows = _Rows(plain, features)
     own, swapped = _Rows([s for s, _ in pairs], features), _Rows([w for _, w in pairs], features)
     target = np.array([y for _, y in labelled], float)

@@ -61,8 +61,8 @@ def test_the_counterfactual_penalty_spares_neutral_mentions():
 
 
 def test_swapping():
-    assert swap_terms(["the", "women", "and", "men"], toxicity.IDENTITY_TERMS) == ["the", "men", "and", "girls"]
-    assert swap_terms(["nobody"], toxicity.IDENTITY_TERMS) is None
+    assert swap_terms(["the", "women", "and", "men"], toxicity.IDENTITY_TERMS) == [["the", "men", "and", "girls"], ["the", "and"]]
+    assert swap_terms(["nobody"], toxicity.IDENTITY_TERMS) == []
 
 
 def test_odd_rows(spark, odd_documents, model):
