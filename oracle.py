@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 
-from subledger.plans import quality
 from subledger.sources.retail import COLUMNS, INPUTS, raw_select
 
 # The window of the test tables, the same as in the registered queries.
@@ -47,8 +46,18 @@ def _columns(table: str) -> list[str]:
     return list(COLUMNS[table][0][2])
 
 
+# Columns with fractions, which count in hundredths in a digest.
+_FRACTIONS = {
+    "total_spent", "subtotal_price", "total_tax", "total_shipping", "total_price", "total_discounts", "price", "total_discount",
+}
+
+
 def _order(table: str, skip: tuple[str, ...]) -> str:
-    return ", ".join(f"{c} nulls last" for c in _columns(table) if c not in skip)
+    """The tie-break between copies: the digest of the columns as text, chr(30) for nothing, chr(31) between."""
+    texts = [
+        f"coalesce(cast({cents(c) if c in _FRACTIONS else c} as varchar), chr(30))" for c in _columns(table) if c not in skip
+    ]
+    return f"md5(concat_ws(chr(31), {', '.join(texts)}))"
 
 
 TABLES: dict[str, str] = {
@@ -95,8 +104,8 @@ TABLES: dict[str, str] = {
             {stamp('created_at')} as subscription_created_at_utc, {stamp('cancelled_at')} as subscription_cancelled_at_utc,
             lower(nullif(trim(cancellation_reason), '')) as cancellation_reason,
             cast(charge_interval_frequency as bigint) as charge_interval_days, lower(order_interval_unit) as charge_interval_unit,
-            case when charge_interval_frequency between 0 and 30 then '30-day'
-                when charge_interval_frequency between 31 and 90 then '90-day' else 'other' end as subscription_frequency_tier,
+            case when charge_interval_frequency <= 30 then '30-day'
+                when charge_interval_frequency <= 90 then '90-day' else 'other' end as subscription_frequency_tier,
             {stamp('next_charge_scheduled_at')} as next_charge_at_utc
         from raw_recharge__subscriptions""",
     "s_attempts": f"""
@@ -180,7 +189,7 @@ TABLES: dict[str, str] = {
     "buyers": """
         select shopify_customer_id, count(*) as n, sum(net_c) as net_c, min(order_created_at_utc) as first_at,
             max(order_created_at_utc) as last_at, cast(date_trunc('month', min(order_created_at_utc)) as date) as cohort,
-            (list(channel order by order_created_at_utc, order_id) filter (where channel is not null))[1] as channel
+            (list(channel order by order_created_at_utc nulls last, order_id nulls last) filter (where channel is not null))[1] as channel
         from enriched group by all""",
     "subscribed": """
         select shopify_customer_id, count(*) as total, count(*) filter (where subscription_status = 'active') as active,
@@ -489,9 +498,87 @@ ORACLES: dict[str, str] = {
             and b.acquisition_channel is not distinct from a.acquisition_channel""",
     "channel_first_vs_repeat": f"""
         select channel, is_first_order, count(*) as orders, {_M('sum(net_c)')} as net_revenue from f_orders group by all""",
+    "retention_by_product": """
+        with firsts as (
+            select shopify_customer_id as customer_id, product_names as first_products
+            from enriched where product_names is not null and customer_order_sequence = 1),
+        seen as (
+            select first_products, acquisition_cohort_month as cohort_month,
+                date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
+                count(distinct customer_id) as customers_active
+            from f_orders left join firsts using (customer_id) where acquisition_cohort_month is not null group by all)
+        select a.*, b.customers_active as cohort_size, round(a.customers_active / b.customers_active, 4) as retention_rate
+        from seen a join seen b on b.cohort_month = a.cohort_month and b.months_since_first_order = 0
+            and b.first_products is not distinct from a.first_products""",
+    "retention_by_interval": """
+        with tiers as (
+            select shopify_customer_id as customer_id, subscription_frequency_tier as subscription_tier from s_subscriptions
+            qualify row_number() over (partition by shopify_customer_id
+                order by subscription_created_at_utc nulls last, subscription_id nulls last) = 1),
+        seen as (
+            select subscription_tier, acquisition_cohort_month as cohort_month,
+                date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
+                count(distinct customer_id) as customers_active
+            from f_orders left join tiers using (customer_id) where acquisition_cohort_month is not null group by all)
+        select a.*, b.customers_active as cohort_size, round(a.customers_active / b.customers_active, 4) as retention_rate
+        from seen a join seen b on b.cohort_month = a.cohort_month and b.months_since_first_order = 0
+            and b.subscription_tier is not distinct from a.subscription_tier""",
+    "dq_fact_relationships": """
+        select order_id, customer_id from f_orders
+        where customer_id is not null and not exists (from d_customers c where c.customer_id = f_orders.customer_id)""",
+    "dq_net_revenue": f"select order_id, {_M('net_c')} as net_revenue from f_orders where net_c < 0",
+    "csv_to_view": "select billing_state, count(*) as customers from s_customers group by all",
     "dq_report": "",
 }
 
+# The declared checks, as "table: unique and not null columns / not null columns".
+DECLARED_KEYS = """
+raw_shopify__customers: id /
+raw_shopify__orders: / id customer_id
+raw_shopify__order_line_items: / id order_id
+raw_recharge__subscriptions: id / customer_id
+raw_recharge__charges: id /
+raw_recharge__customers: id / shopify_customer_id
+raw_stripe__charges: id /
+raw_stripe__refunds: id /
+stg_shopify__orders: order_id / shopify_customer_id gross_revenue
+stg_shopify__customers: shopify_customer_id customer_email /
+stg_shopify__order_line_items: line_item_id / order_id
+stg_recharge__subscriptions: subscription_id / recharge_customer_id
+stg_recharge__charges: charge_id /
+stg_recharge__customers: recharge_customer_id shopify_customer_id /
+stg_stripe__charges: stripe_charge_id / charge_amount
+stg_stripe__refunds: stripe_refund_id / refund_amount
+int_customers__unified: shopify_customer_id customer_email /
+int_orders__enriched: order_id /
+int_payments__reconciled: order_id /
+dim_dates: date_key /
+dim_products: sku /
+dim_customers: customer_id /
+fct_orders: order_id / customer_id
+fct_subscriptions: subscription_id /
+fct_charges: charge_id /
+rpt_revenue_reconciliation: order_month /
+rpt_subscription_health: report_month /
+"""
+# Kind of check, table, column, and the condition of a row that fails it.
+DECLARED_CONDITIONS = [
+    ("accepted_values", "raw_shopify__orders", "financial_status", "financial_status not in ('paid', 'pending', 'refunded', 'partially_refunded', 'voided')"),
+    ("accepted_values", "raw_recharge__charges", "status", "status not in ('SUCCESS', 'ERROR', 'DECLINED', 'QUEUED', 'REFUNDED')"),
+    ("accepted_values", "raw_stripe__charges", "status", "status not in ('succeeded', 'failed', 'pending')"),
+    ("accepted_values", "stg_shopify__orders", "financial_status", "financial_status not in ('paid', 'pending', 'refunded', 'partially_refunded', 'voided')"),
+    ("accepted_values", "stg_recharge__subscriptions", "subscription_status", "subscription_status not in ('active', 'cancelled', 'expired')"),
+    ("accepted_values", "stg_recharge__charges", "charge_status", "charge_status not in ('SUCCESS', 'ERROR', 'DECLINED', 'QUEUED', 'REFUNDED')"),
+    ("accepted_values", "int_payments__reconciled", "reconciliation_status",
+     "reconciliation_status not in ('reconciled', 'no_stripe_match', 'amount_mismatch', 'orphaned_refund')"),
+    ("accepted_values", "dim_customers", "customer_type", "customer_type not in ('subscriber', 'one_time')"),
+    ("expression", "stg_stripe__charges", "charge_amount", "charge_amount < 0"),
+    ("expression", "stg_stripe__refunds", "refund_amount", "refund_amount <= 0"),
+    ("expression", "fct_subscriptions", "monthly_recurring_revenue", "monthly_recurring_revenue < 0"),
+    ("expression", "rpt_monthly_cohort_retention", "retention_rate", "retention_rate > 1"),
+    ("expression", "rpt_subscription_health", "monthly_recurring_revenue", "monthly_recurring_revenue < 0"),
+]
+
 
 def _report() -> str:
     """Every declared check, counted over the published columns of its table."""
@@ -517,17 +604,12 @@ def _report() -> str:
         )
 
     parts = []
-    for table, columns in quality.UNIQUE_AND_NOT_NULL.items():
-        for column in columns:
-            parts.append(count(table, column, "unique", "", grouped=True))
-            parts.append(count(table, column, "not_null", f"{column} is null"))
-    for table, columns in quality.NOT_NULL_ONLY.items():
-        parts += [count(table, column, "not_null", f"{column} is null") for column in columns]
-    for (table, column), accepted in quality.ACCEPTED.items():
-        listed = ", ".join(f"'{v}'" for v in accepted)
-        parts.append(count(table, column, "accepted_values", f"{column} not in ({listed})"))
-    for (table, column), rule in quality.EXPRESSIONS.items():
-        parts.append(count(table, column, "expression", f"not ({column} {rule})"))
+    for line in DECLARED_KEYS.strip().splitlines():
+        table, _, columns = line.partition(":")
+        unique, _, present = columns.partition("/")
+        parts += [count(table, column, "unique", "", grouped=True) for column in unique.split()]
+        parts += [count(table, column, "not_null", f"{column} is null") for column in (unique + present).split()]
+    parts += [count(table, column, kind, fails) for kind, table, column, fails in DECLARED_CONDITIONS]
     return " union all ".join(parts)
 
 

@@ -35,3 +35,11 @@ def days_between(start: Column, end: Column) -> Column:
 def months_between(start: Column, end: Column) -> Column:
     """Month starts passed, not whole months."""
     return (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
+
+
+def utc_now() -> Column:
+    """The current instant as a zone-free time in UTC, counted from the epoch so that no session zone comes into it."""
+    return F.expr(
+        "timestamp_ntz'1970-01-01 00:00:00' "
+        "+ make_dt_interval(0, 0, 0, cast(unix_micros(current_timestamp()) as decimal(20, 0)) / 1000000)"
+    )

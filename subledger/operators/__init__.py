@@ -1,11 +1,11 @@
 """Operators Spark has no single call for, composed from DataFrame operations."""
 
-from subledger.operators.dedup import keep_first, total_order
+from subledger.operators.dedup import keep_first, row_digest
 from subledger.operators.intervals import month_deltas, running_levels
 from subledger.operators.skew import HotKeys, find_hot_keys, left_join_few, left_join_many, number_rows
 from subledger.operators.spine import date_spine, day_spine, month_spine
 
 __all__ = [
     "HotKeys", "date_spine", "day_spine", "find_hot_keys", "keep_first", "left_join_few", "left_join_many", "month_deltas",
-    "month_spine", "number_rows", "running_levels", "total_order",
+    "month_spine", "number_rows", "row_digest", "running_levels",
 ]

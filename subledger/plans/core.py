@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.functions import days_between, flag, month_of, safe_divide
+from subledger.functions import days_between, flag, month_of, safe_divide, utc_now
 from subledger.operators import HotKeys, left_join_few
 from subledger.plans.staging import ACTIVE
 from subledger.settings import Settings
@@ -18,13 +18,18 @@ BUNDLE_PATTERN, BUNDLE, SINGLE = "%bundle%", "bundle", "single"
 
 
 def as_of(settings: Settings) -> Column:
-    """A zone-free time, so that days are counted alike whatever the session's zone."""
-    return F.lit(settings.as_of.isoformat(" ")).cast("timestamp_ntz") if settings.as_of else F.localtimestamp()
+    """A zone-free time in UTC, as all cleaned times are, so that days are counted alike whatever the session's zone."""
+    return F.lit(settings.as_of.isoformat(" ")).cast("timestamp_ntz") if settings.as_of else utc_now()
 
 
 def first_touch(channel: Column, when: Column, order_id: Column) -> Column:
-    """The first known channel over all of a customer's orders; orders without one are passed over."""
-    return F.min_by(channel, F.when(channel.isNotNull(), F.struct(when, order_id)))
+    """The first known channel over all of a customer's orders; orders without one are passed over, undated ones last."""
+    return F.min_by(channel, F.when(channel.isNotNull(), history_order(when, order_id)))
+
+
+def history_order(when: Column, order_id: Column) -> Column:
+    """A customer's orders in one order everywhere: by time, then by id, nulls last."""
+    return F.struct(when.isNull(), when.alias("when"), order_id.isNull(), order_id.alias("order_id"))
 
 
 def customer_orders(orders: DataFrame) -> DataFrame:
@@ -50,13 +55,15 @@ def customer_subscriptions(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-def customers(
-    unified: DataFrame, orders: DataFrame, subscriptions: DataFrame, hot_ids: HotKeys, settings: Settings
-) -> DataFrame:
-    """Customer 360. Both right sides have one row per customer, so customers keep theirs."""
-    ordered = left_join_few(unified, customer_orders(orders), hot_ids, spread=["customer_email"])
+def customers(unified: DataFrame, orders: DataFrame, subscriptions: DataFrame, settings: Settings) -> DataFrame:
+    """Customer 360. Both right sides have one row per customer, so customers keep theirs.
+
+    The id is a key that the declared checks watch. Should many records lack one, adaptive execution splits them, as the
+    left side of a left join may be.
+    """
     return (
-        left_join_few(ordered, customer_subscriptions(subscriptions), hot_ids, spread=["customer_email"])
+        unified.join(customer_orders(orders), "shopify_customer_id", "left")
+        .join(customer_subscriptions(subscriptions), "shopify_customer_id", "left")
         .select(
             F.col("shopify_customer_id").alias("customer_id"),
             "customer_email",
@@ -82,13 +89,12 @@ def customers(
     )
 
 
-def acquisition(shop_customers: DataFrame, orders: DataFrame, hot_ids: HotKeys) -> DataFrame:
+def acquisition(shop_customers: DataFrame, orders: DataFrame) -> DataFrame:
     """The three columns of the customer dimension that order facts need, without building the rest of it.
 
     ``shop_customers`` has the dimension's rows: its joins neither add nor drop any.
     """
-    ids = shop_customers.select("shopify_customer_id", "customer_email")
-    return left_join_few(ids, customer_orders(orders), hot_ids, spread=["customer_email"]).select(
+    return shop_customers.select("shopify_customer_id").join(customer_orders(orders), "shopify_customer_id", "left").select(
         F.col("shopify_customer_id").alias("customer_id"), "acquisition_cohort_month", "acquisition_channel"
     )
 
@@ -219,12 +225,11 @@ def monthly_price(price: Column, interval_days: Column, settings: Settings) -> C
     return F.round(price * months, 2)
 
 
-def subscription_facts(subscriptions: DataFrame, charges: DataFrame, hot_ids: HotKeys, settings: Settings) -> DataFrame:
+def subscription_facts(subscriptions: DataFrame, charges: DataFrame, settings: Settings) -> DataFrame:
     created, ended = F.col("subscription_created_at_utc"), F.col("subscription_cancelled_at_utc")
     recurring = monthly_price(F.col("subscription_price"), F.col("charge_interval_days"), settings)
     totals = charge_totals(charges, "subscription_id")
-    joined = left_join_few(subscriptions, totals, hot_ids, spread=["recharge_customer_id", "subscription_created_at_utc"])
-    return joined.select(
+    return subscriptions.join(totals, "subscription_id", "left").select(
         "subscription_id",
         F.col("shopify_customer_id").alias("customer_id"),
         "customer_email",

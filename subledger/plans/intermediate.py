@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.functions import month_of
-from subledger.operators import HotKeys, keep_first, left_join_many, number_rows, total_order
+from subledger.operators import HotKeys, keep_first, left_join_many, number_rows
 from subledger.plans.staging import PAYMENT_SUCCESS
 from subledger.settings import Settings
 
@@ -18,10 +18,8 @@ RECONCILED, NO_MATCH, MISMATCH, ORPHANED = "reconciled", "no_stripe_match", "amo
 
 def unified_customers(shop: DataFrame, subscription: DataFrame) -> DataFrame:
     """Shop customers with the latest subscription-side record of the same e-mail."""
-    newest = total_order(
-        subscription, [F.col("recharge_created_at_utc").desc_nulls_first()], skip=["customer_email", "recharge_created_at_utc"]
-    )
-    match = keep_first(subscription, ["customer_email"], newest).select(
+    newest = [F.col("recharge_created_at_utc").desc_nulls_first()]
+    match = keep_first(subscription, ["customer_email"], newest, skip=["customer_email", "recharge_created_at_utc"]).select(
         "customer_email", "recharge_customer_id", "recharge_status", "is_in_dunning"
     )
     return shop.join(match, "customer_email", "left").select(

@@ -77,7 +77,8 @@ class Project:
     def stg_stripe__refunds(self) -> DataFrame:
         return staging.payment_refunds(self.source.read("stripe", "raw_stripe__refunds"))
 
-    # Keys too large for one task. Looked for in the raw tables, where the search reads one column and joins nothing.
+    # Keys too large for one task. Looked for in the raw tables, where the search reads one column and joins nothing; not
+    # for primary keys, which the declared checks watch.
 
     def _hot(self, system: str, table: str, column: str, name: str) -> HotKeys:
         keys = self.source.read(system, table).select(F.col(column).alias(name))
@@ -88,16 +89,6 @@ class Project:
         """Customers with very many orders."""
         return self._hot("shopify", "raw_shopify__orders", "customer_id", "shopify_customer_id")
 
-    @cached_property
-    def hot_customer_ids(self) -> HotKeys:
-        """Ids many customer records share, such as a missing one."""
-        return self._hot("shopify", "raw_shopify__customers", "id", "shopify_customer_id")
-
-    @cached_property
-    def hot_subscription_ids(self) -> HotKeys:
-        """Ids many subscription records share."""
-        return self._hot("recharge", "raw_recharge__subscriptions", "id", "subscription_id")
-
     @cached_property
     def hot_paid_orders(self) -> HotKeys:
         """Orders with very many successful charges."""
@@ -139,8 +130,7 @@ class Project:
     @cached_property
     def dim_customers(self) -> DataFrame:
         return core.customers(
-            self.int_customers__unified, self.valid_orders, self.stg_recharge__subscriptions, self.hot_customer_ids,
-            self.settings,
+            self.int_customers__unified, self.valid_orders, self.stg_recharge__subscriptions, self.settings
         )
 
     @cached_property
@@ -156,7 +146,7 @@ class Project:
         """Cohort and first channel per customer: from the customer dimension where that is written already."""
         if "dim_customers" in self.written:
             return self.dim_customers
-        return core.acquisition(self.stg_shopify__customers, self.valid_orders, self.hot_customer_ids)
+        return core.acquisition(self.stg_shopify__customers, self.valid_orders)
 
     @cached_property
     def fct_orders(self) -> DataFrame:
@@ -168,9 +158,7 @@ class Project:
 
     @cached_property
     def fct_subscriptions(self) -> DataFrame:
-        return core.subscription_facts(
-            self.stg_recharge__subscriptions, self.stg_recharge__charges, self.hot_subscription_ids, self.settings
-        )
+        return core.subscription_facts(self.stg_recharge__subscriptions, self.stg_recharge__charges, self.settings)
 
     @cached_property
     def fct_charges(self) -> DataFrame:

@@ -143,9 +143,26 @@ def declared_checks() -> Iterator[Check]:
         yield Check(table, column, "expression", lambda c=column, r=rule: ~F.expr(f"`{c}` {r}"))
 
 
-def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row-by-row checks of a table in one scan of the checked columns."""
-    counts = df.agg(*[F.count_if(c.violated()).alias(f"n{i}") for i, c in enumerate(checks)])
+def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All checks of a table. Row-by-row ones are counted per value of the first unique column, so that they take no scan
+    and no shuffle of their own; each further unique column takes one.
+    """
+    by_row, unique = [c for c in checks if c.violated], [c for c in checks if not c.violated]
+    counts = [F.count_if(c.violated()).alias(f"n{i}") for i, c in enumerate(by_row)]
+    if not unique:
+        return _listed(df.agg(*counts), by_row)
+    first = unique[0]
+    per_value = df.groupBy(F.col(first.column).alias("value")).agg(F.count("*").alias("rows"), *counts)
+    repeated = F.count_if(F.col("value").isNotNull() & (F.col("rows") > 1)).alias(f"n{len(by_row)}")
+    sums = [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(by_row))]
+    out = _listed(per_value.agg(*sums, repeated), [*by_row, first])
+    for check in unique[1:]:
+        out = out.unionByName(_listed(duplicated(df, check.column).agg(F.count("*").alias("n0")), [check]))
+    return out
+
+
+def _listed(counts: DataFrame, checks: list[Check]) -> DataFrame:
+    """The counts n0, n1, ... of one row as a row per check."""
     results = [
         F.struct(
             F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"), F.lit(c.kind).alias("check_name"),
@@ -156,23 +173,11 @@ def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return counts.select(F.inline(F.array(*results)))
 
 
-def _unique_check(df: DataFrame, check: Check) -> DataFrame:
-    return duplicated(df, check.column).agg(F.count("*").alias("violations")).select(
-        F.lit(check.table).alias("table_name"), F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"), "violations",
-    )
-
-
 def report(table: Callable[[str], DataFrame]) -> DataFrame:
-    """One row per declared check with its number of violations. ``table`` gives the table of a name, best a written one."""
+    """One row per declared check with its number of violations. ``table`` gives the table of a name: a written one, or a
+    planned one, whose inputs Spark then shares where plans agree.
+    """
     by_table: dict[str, list[Check]] = {}
     for check in declared_checks():
         by_table.setdefault(check.table, []).append(check)
-    parts = []
-    for name, checks in by_table.items():
-        df = table(name)
-        by_row = [c for c in checks if c.violated]
-        if by_row:
-            parts.append(_row_checks(df, by_row))
-        parts += [_unique_check(df, c) for c in checks if not c.violated]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_table_checks(table(name), checks) for name, checks in by_table.items()])

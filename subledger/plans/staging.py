@@ -13,7 +13,7 @@ from subledger.functions import (
     blank_to_null, cents_to_dollars, clean_email, flag, is_blank, money, proper_name, url_parameter, wall_clock,
     zone_to_utc,
 )
-from subledger.operators import keep_first, total_order
+from subledger.operators import keep_first
 from subledger.settings import Settings
 
 # The words of the source systems, the labels given to them, and how messages map to error categories
@@ -36,8 +36,7 @@ NO_REASON = "not_specified"
 
 def shop_orders(raw: DataFrame, settings: Settings) -> DataFrame:
     """One row per order: the earliest delivery, retries dropped. ``created_at`` is fixed-width text in one zone."""
-    earliest = total_order(raw, [F.col("created_at").asc_nulls_last()], skip=["id", "created_at"])
-    return order_columns(keep_first(raw, ["id"], earliest), settings)
+    return order_columns(keep_first(raw, ["id"], [F.col("created_at").asc_nulls_last()], skip=["id", "created_at"]), settings)
 
 
 def order_columns(raw: DataFrame, settings: Settings) -> DataFrame:
@@ -72,8 +71,8 @@ def order_columns(raw: DataFrame, settings: Settings) -> DataFrame:
 def shop_customers(raw: DataFrame, settings: Settings) -> DataFrame:
     """One row per normalised e-mail, the latest created; customers without an e-mail count as one."""
     keyed = raw.withColumn("customer_email", clean_email(F.col("email")))
-    newest = total_order(raw, [F.col("created_at").desc_nulls_first()], skip=["created_at"])
-    return keep_first(keyed, ["customer_email"], newest).select(
+    newest = [F.col("created_at").desc_nulls_first()]
+    return keep_first(keyed, ["customer_email"], newest, skip=["created_at", "customer_email"]).select(
         F.col("id").alias("shopify_customer_id"),
         "customer_email",
         proper_name(F.col("first_name")).alias("first_name"),
@@ -88,10 +87,10 @@ def shop_customers(raw: DataFrame, settings: Settings) -> DataFrame:
 
 
 def shop_line_items(raw: DataFrame) -> DataFrame:
-    """One row per line item. Copies have no order of their own, so the smallest row stays."""
+    """One row per line item. Copies have no order of their own, so the one of smallest digest stays."""
     price, quantity = money(F.col("price")), F.col("quantity").cast("int")
     discount = money(F.col("total_discount"))
-    return keep_first(raw, ["id"], total_order(raw, skip=["id"])).select(
+    return keep_first(raw, ["id"], skip=["id"]).select(
         F.col("id").alias("line_item_id"),
         "order_id",
         "product_id",

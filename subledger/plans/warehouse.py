@@ -12,10 +12,9 @@ from subledger.sources import RAW_TABLES, Source
 # Month columns the facts are partitioned by, so that a report on some months reads only those.
 PARTITIONS = {"fct_orders": "order_month", "fct_charges": "charge_month"}
 
-# Tables with two readers each, behind a wide shuffle: written once rather than computed twice. The cleaned orders have
-# two readers as well, but both go on by order id, which the shuffle that drops retries leaves in place and a written
-# copy would not.
-SHARED = ["stg_shopify__order_line_items", "int_orders__enriched"]
+# Tables with two readers each, behind a wide shuffle: written once rather than computed twice, and later readers scan only
+# the columns that they use.
+SHARED = ["stg_shopify__orders", "stg_shopify__order_line_items", "int_orders__enriched"]
 
 
 class Sink(Protocol):
@@ -28,7 +27,11 @@ def _laid_out(df: DataFrame, partition: str | None) -> DataFrame:
 
 
 class ParquetSink:
-    """``<root>/<layer>/<name>``; ``root`` has to be a folder every executor can write to."""
+    """``<root>/<layer>/<name>``; ``root`` has to be a folder every executor can write to.
+
+    Plain folders cannot be switched in one step: a run replaces tables in place, so readers that must not see a rebuild
+    in progress take a new ``root`` per run, or a ``CatalogSink`` with a format that commits.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root

@@ -13,10 +13,10 @@ from subledger.functions import cents_to_dollars, days_between, month_of, months
 from subledger.operators import day_spine, month_spine, number_rows
 from subledger.plans import core, dashboards, intermediate, quality, reporting
 from subledger.plans.project import Project
-from subledger.plans.warehouse import ParquetSink, build
+from subledger.plans.warehouse import ParquetSink, load_raw
 from subledger.session import run_folder
 from subledger.settings import Settings
-from subledger.sources import RetailSource
+from subledger.sources import RAW_TABLES, CsvSource, ParquetSource, RetailSource
 
 # The window the test tables cover.
 RETAIL = Settings(
@@ -90,7 +90,13 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     ),
     "dq_recency": lambda p: quality.stale(p.stg_shopify__orders, "order_created_at_utc", p.settings.recency_days, p.settings),
     "dq_tolerance": lambda p: quality.disagreeing_months(p.rpt_revenue_reconciliation, p.settings),
-    "dq_report": lambda p: quality.report(build(p, ParquetSink(p.spark, run_folder(p.spark))).table),
+    "dq_report": lambda p: quality.report(p.table),
+    "dq_fact_relationships": lambda p: quality.orphans(p.fct_orders, "customer_id", p.dim_customers, "customer_id").select(
+        "order_id", "customer_id"
+    ),
+    "dq_net_revenue": lambda p: quality.failing(p.fct_orders, F.col("net_revenue") >= 0).select("order_id", "net_revenue"),
+    # Readers
+    "csv_to_view": lambda p: csv_to_view(p),
     # Dashboard tables
     "churn_mrr_bridge": lambda p: dashboards.mrr_bridge(p.stg_recharge__subscriptions, p.settings),
     "active_mom_change": lambda p: dashboards.active_change(p.rpt_subscription_health),
@@ -102,10 +108,50 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "retention_by_segment": lambda p: reporting.cohort_retention(
         reporting.customer_months(p.valid_orders, p.stg_shopify__customers), within=["acquisition_channel"]
     ),
+    "retention_by_product": lambda p: retention_within(p, first_products(p), "first_products"),
+    "retention_by_interval": lambda p: retention_within(p, subscription_tiers(p), "subscription_tier"),
     "channel_first_vs_repeat": lambda p: dashboards.channel_orders(p.fct_orders),
 }
 
 
+def retention_within(p: Project, attributes: DataFrame, column: str) -> DataFrame:
+    """Cohort retention within an attribute of the customer; null for customers without it."""
+    months = reporting.customer_months(p.valid_orders, p.stg_shopify__customers)
+    return reporting.cohort_retention(months.join(attributes, "customer_id", "left"), within=[column])
+
+
+def first_products(p: Project) -> DataFrame:
+    """What was in each customer's first order. Orders are reduced to the first per customer before they meet any items."""
+    first = F.min(core.history_order(F.col("order_created_at_utc"), F.col("order_id"))).alias("first")
+    orders = p.valid_orders.groupBy(F.col("shopify_customer_id").alias("customer_id")).agg(first).select(
+        "customer_id", F.col("first.order_id").alias("order_id")
+    )
+    items = intermediate.order_items(p.stg_shopify__order_line_items).select("order_id", F.col("product_names").alias("first_products"))
+    return orders.join(items, "order_id").select("customer_id", "first_products")
+
+
+def subscription_tiers(p: Project) -> DataFrame:
+    """The tier of each customer's first subscription."""
+    placed = core.history_order(F.col("subscription_created_at_utc"), F.col("subscription_id"))
+    return p.stg_recharge__subscriptions.groupBy(F.col("shopify_customer_id").alias("customer_id")).agg(
+        F.min_by("subscription_frequency_tier", placed).alias("subscription_tier")
+    )
+
+
+def csv_to_view(p: Project) -> DataFrame:
+    """Customers per state from a view over raw tables that were headed CSV files: written, loaded with ``load_raw``, read
+    through the view that ``build`` would make of them.
+    """
+    files, loaded = run_folder(p.spark), run_folder(p.spark)
+    for system, tables in RAW_TABLES.items():
+        for table in tables:
+            p.source.read(system, table).write.csv(f"{files}/{table}.csv", header=True)
+    load_raw(CsvSource(p.spark, files), ParquetSink(p.spark, loaded))
+    customers = Project(ParquetSource(p.spark, f"{loaded}/raw"), p.settings).stg_shopify__customers
+    customers.createOrReplaceTempView("stg_shopify__customers")
+    return p.spark.sql("select billing_state, count(*) as customers from stg_shopify__customers group by billing_state")
+
+
 def order_days(p: Project) -> DataFrame:
     """First day of the order history and the day after its last: the bounds of a calendar over it."""
     day = F.to_date("order_created_at_utc")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +32,8 @@ def build_session(app: str = "subledger", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for checkpoints and written intermediates (``spark.checkpoint.dir``).
 
-    Only a local session, which has no other machine to share with, may fall back to a folder of its own.
+    Only a local session, which has no other machine to share with, may do without: it gets a folder of its own that is
+    gone when the program ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
@@ -38,6 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="subledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -1,7 +1,7 @@
 """The raw tables, derived from star-schema retail tables (customer, nation, orders, lineitem, events).
 
 The column expressions mean the same in Spark and in DuckDB, so the checks build their inputs from this text too.
-They plant the defects the models exist for: webhook retries, e-mail spellings, blank fields, lost attribution, status
+They plant the defects the models exist for: webhook retries, orders without a time, e-mail spellings, blank fields, lost attribution, status
 mismatches, wrong amounts, orphaned refunds and failed charges nobody asked for.
 """
 
@@ -56,11 +56,12 @@ COLUMNS: dict[str, list[tuple[str, str, dict[str, str]]]] = {
     })],
     "raw_shopify__orders": [("deliveries", "", {
         "id": "o_orderkey",
-        "order_number": "cast(10000 + o_orderkey as int)",
+        "order_number": "10000 + o_orderkey",
         "customer_id": "o_custkey",
         "email": _email("o_custkey"),
-        "created_at": _order_day() + " || 'T' || " + _two("8 + o_orderkey % 12") + " || ':00:' || "
-                      "case when delivery = 0 then '00' else " + _two("1 + o_orderkey % 30") + " end || '-05:00'",
+        "created_at": "case when o_orderkey % 37 <> 5 then " + _order_day() + " || 'T' || " + _two("8 + o_orderkey % 12")
+                      + " || ':00:' || case when delivery = 0 then '00' else " + _two("1 + o_orderkey % 30")
+                      + " end || '-05:00' end",
         "financial_status": "case o_orderkey % 25 when 0 then 'voided' when 1 then 'refunded' "
                             "when 2 then 'partially_refunded' when 3 then 'pending' else 'paid' end",
         "fulfillment_status": "case o_orderstatus when 'F' then 'fulfilled' when 'O' then 'unfulfilled' "
@@ -157,7 +158,7 @@ COLUMNS: dict[str, list[tuple[str, str, dict[str, str]]]] = {
             "failure_code": "case when o_orderkey % 25 = 3 then ' Card_Declined ' else '' end",
             "failure_message": _NONE,
         }),
-        ("events", "event_type = 'error' and event_id % 50 = 0", {
+        ("events", "event_type = 'error'", {
             "id": "'ch_ghost_' || cast(event_id as string)",
             "amount": "cast(round(value * 100) as bigint)",
             "amount_refunded": "cast(0 as bigint)",

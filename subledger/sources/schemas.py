@@ -11,7 +11,7 @@ RAW_TABLES: dict[str, dict[str, str]] = {
             id bigint, email string, first_name string, last_name string, state string, created_at string,
             orders_count int, total_spent double, tags string, accepts_marketing string""",
         "raw_shopify__orders": """
-            id bigint, order_number int, customer_id bigint, email string, created_at string, financial_status string,
+            id bigint, order_number bigint, customer_id bigint, email string, created_at string, financial_status string,
             fulfillment_status string, subtotal_price double, total_tax double, total_shipping double,
             total_price double, total_discounts double, discount_codes string, source_name string,
             landing_site string, referring_site string, cancel_reason string, cancelled_at string, tags string,

@@ -1,5 +1,5 @@
-"""The same cleaning on arriving data."""
+"""Raw orders as a stream."""
 
-from subledger.streaming.retries import first_deliveries, read_deliveries, write_orders
+from subledger.streaming.retries import first_deliveries, read_deliveries, read_orders, write_orders
 
-__all__ = ["first_deliveries", "read_deliveries", "write_orders"]
+__all__ = ["first_deliveries", "read_deliveries", "read_orders", "write_orders"]
