@@ -16,7 +16,7 @@ from subledger.session import build_session
 HEADLINE = [
     "stg_orders", "stg_line_items", "orders_enriched", "payments_reconciled", "dim_customers", "dim_products",
     "fct_orders", "fct_subscriptions", "fct_charges", "cohort_retention", "revenue_reconciliation", "subscription_health",
-    "churn_mrr_bridge", "ltv_curve", "dunning_recovery",
+    "churn_mrr_bridge", "ltv_curve", "dunning_recovery", "dq_report",
 ]
 
 

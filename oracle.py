@@ -526,7 +526,6 @@ ORACLES: dict[str, str] = {
     "dq_fact_relationships": """
         select order_id, customer_id from f_orders
         where customer_id is not null and not exists (from d_customers c where c.customer_id = f_orders.customer_id)""",
-    "dq_net_revenue": f"select order_id, {_M('net_c')} as net_revenue from f_orders where net_c < 0",
     "csv_to_view": "select billing_state, count(*) as customers from s_customers group by all",
     "dq_report": "",
 }

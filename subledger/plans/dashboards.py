@@ -75,7 +75,7 @@ def cohort_value(orders: DataFrame, shop_customers: DataFrame) -> DataFrame:
     )
     by_cohort = Window.partitionBy("cohort_month")
     size = F.max(F.when(F.col("months_since_first_order") == 0, F.col("customers_active"))).over(by_cohort)
-    so_far = by_cohort.orderBy("months_since_first_order").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = by_cohort.orderBy(F.col("months_since_first_order").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
     return (
         spent.withColumn("cohort_size", size)
         .withColumn("cumulative_revenue", F.sum("net_revenue").over(so_far))

@@ -94,7 +94,6 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "dq_fact_relationships": lambda p: quality.orphans(p.fct_orders, "customer_id", p.dim_customers, "customer_id").select(
         "order_id", "customer_id"
     ),
-    "dq_net_revenue": lambda p: quality.failing(p.fct_orders, F.col("net_revenue") >= 0).select("order_id", "net_revenue"),
     # Readers
     "csv_to_view": lambda p: csv_to_view(p),
     # Dashboard tables
