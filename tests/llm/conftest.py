@@ -1,8 +1,7 @@
 from __future__ import annotations
 
 import pytest
-
-LONG = "Long texts are read as a whole. " * 30_000
+from odd import LONG
 
 
 @pytest.fixture(scope="session")
@@ -19,7 +18,3 @@ def odd_documents(spark):
         "*", "kept as score", "kept as n_tokens", "kept as offset", "kept as sequence_id", "kept as class_id", "kept as id", "kept as t",
         "kept as held_out", "kept as target", "kept as digest", "kept as path",
     )
-
-
-def rows_of(df) -> list[tuple]:
-    return sorted(map(tuple, df.collect()), key=str)

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from odd import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -5,7 +5,7 @@ import random
 import re
 from collections import Counter
 
-from conftest import rows_of
+from odd import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

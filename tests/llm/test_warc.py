@@ -5,7 +5,7 @@ import hashlib
 
 import duckdb
 import pytest
-from conftest import LONG
+from odd import LONG
 
 from subledger.llm import warc
 from subledger.llm.queries import ORACLE_SQL, op1_url_filters, op10_warc
