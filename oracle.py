@@ -530,6 +530,10 @@ ORACLES: dict[str, str] = {
     "dq_report": "",
 }
 
+ORACLES["subscription_health_recovery"] = f"""
+    select h.*, d.recovered_charges, d.recovery_rate
+    from ({ORACLES['subscription_health']}) h left join ({ORACLES['dunning_recovery']}) d on d.charge_month = h.report_month"""
+
 # The declared checks, as "table: unique and not null columns / not null columns".
 DECLARED_KEYS = """
 raw_shopify__customers: id /

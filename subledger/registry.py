@@ -104,6 +104,7 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "channel_conversion": lambda p: dashboards.channel_conversion(p.dim_customers),
     "refund_rate": lambda p: dashboards.refund_rate(p.rpt_revenue_reconciliation),
     "dunning_recovery": lambda p: dashboards.dunning_recovery(p.fct_charges, p.settings),
+    "subscription_health_recovery": lambda p: health_with_recovery(p),
     "retention_by_segment": lambda p: reporting.cohort_retention(
         reporting.customer_months(p.valid_orders, p.stg_shopify__customers), within=["acquisition_channel"]
     ),
@@ -137,6 +138,14 @@ def subscription_tiers(p: Project) -> DataFrame:
     )
 
 
+def health_with_recovery(p: Project) -> DataFrame:
+    """The monthly subscription report with the share of failed charges recovered later. Both have one row per month."""
+    recovery = dashboards.dunning_recovery(p.fct_charges, p.settings).select(
+        F.col("charge_month").alias("report_month"), "recovered_charges", "recovery_rate"
+    )
+    return p.rpt_subscription_health.join(recovery, "report_month", "left").orderBy("report_month")
+
+
 def csv_to_view(p: Project) -> DataFrame:
     """Customers per state from a view over raw tables that were headed CSV files: written, loaded with ``load_raw``, read
     through the view that ``build`` would make of them.
