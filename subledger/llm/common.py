@@ -67,11 +67,11 @@ def per_group(
     names = T.StructType.fromDDL(schema).names
     arrow = _arrow_schema(df.sparkSession, schema)
 
-    def arrays(table: pa.Table) -> dict[str, np.ndarray]:
-        return {c: np.array(table.column(c).to_pylist(), object) if pa.types.is_binary(table.schema.field(c).type) else table.column(c).to_numpy() for c in columns}
+    def values(column: pa.ChunkedArray) -> np.ndarray:
+        return np.array(column.to_pylist(), object) if pa.types.is_binary(column.type) else column.to_numpy()
 
     def compute(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
-        out = function(arrays(table), group)
+        out = function({c: values(table.column(c)) for c in columns}, group)
         return pa.RecordBatch.from_arrays([pa.array(out[n], arrow.field(n).type) for n in names], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,10 +3,10 @@
 Documents are labelled, not sentences, and one toxic sentence makes a document toxic. So a document's score is that of its
 worst sentence, and training alternates between finding each labelled document's worst sentence and fitting a logistic
 regression to those sentences. Only features that toxic documents hold significantly more often take part: a document has
-many sentences, and chance weights on rare words would make the worst of them look bad. For every
-training sentence that mentions an identity term, counterfactual copies are made, one with another term of the same group
-and one that names none, and the squared differences of the scores are added to the loss: the first makes groups alike,
-the second keeps the mention itself from counting.
+many sentences, and chance weights on rare words would make the worst of them look bad. For every training sentence that
+mentions an identity term, counterfactual copies are made, one with another term of the same group and one that names
+none, and the squared differences of the scores are added to the loss: the first makes groups alike, the second keeps the
+mention itself from counting.
 
 Words count by themselves and by their beginnings, so inflected and compound forms of a known word count as well.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -205,7 +205,8 @@ def fit(labelled: Sequence[tuple[Sequence[str], int]], training: Training, allow
 def labelled_sample(docs: DataFrame, labels: DataFrame, training: Training, key: str, text: str) -> DataFrame:
     """Texts and labels learned from, written once. ``docs`` must not hold rows that nothing may be learned from.
 
-    Ids with null, unknown or contradicting labels are left out. The ids are chosen before any text is read.
+    Ids with null, unknown or contradicting labels are left out. The ids are chosen before any text is read; of rows that
+    repeat an id one is taken, so that the sample stays bounded.
     """
     known = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -217,7 +218,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, training: Training, key:
     chosen = materialized(few[0].unionByName(few[1]).select("_id", "_y"))
     # At most twice most_per_label ids: small by definition.
     found = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_id")
-    return materialized(found.select("_t", "_y"))
+    return materialized(found.groupBy("_id", "_y").agg(F.min_by("_t", F.xxhash64("_t")).alias("_t")).select("_t", "_y"))
 
 
 def first_weights(sample: DataFrame, training: Training) -> Model:

@@ -37,7 +37,19 @@ def _one_line(value: Column) -> Column:
     return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-def write(df: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> Archive:
+def _name(key: Column, record: Column) -> Column:
+    page = F.coalesce(key.cast("string"), F.lit(""))
+    return F.concat(F.lit("<urn:page:"), page, F.lit(":"), record.cast("string"), F.lit(">"))
+
+
+def _line(field: str, value: Column) -> Column:
+    return F.concat(F.lit(f"{field}: "), value, F.lit("\r\n"))
+
+
+def write(
+    df: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0,
+    date: str = "1970-01-01T00:00:00Z",
+) -> Archive:
     """Archive every row.
 
     Of the records with equal payloads of at least ``least_bytes`` bytes the one with the largest key is a response and
@@ -47,34 +59,31 @@ def write(df: DataFrame, key: str = "page_id", url: str = "url", payload: str =
     """
     body = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
     rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload"))
-    stubs = with_row_id(
-        rows.select("key", "url", F.unhex(F.sha2("payload", 256)).alias("digest"), sha1_base32(F.col("payload")).alias("sha1"), F.length("payload").cast("bigint").alias("bytes")),
-        "record",
-    )
+    digest, size = F.unhex(F.sha2("payload", 256)).alias("digest"), F.length("payload").cast("bigint").alias("bytes")
+    stubs = with_row_id(rows.select("key", "url", digest, sha1_base32(F.col("payload")).alias("sha1"), size), "record")
+    different = F.raise_error(F.lit("two payloads have one digest"))
     payloads = materialized(
-        rows.groupBy(F.unhex(F.sha2("payload", 256)).alias("digest"))
+        rows.groupBy(digest)
         .agg(F.min("payload").alias("payload"), F.max("payload").alias("other"))
-        .select("digest", F.when(F.col("payload") == F.col("other"), F.col("payload")).otherwise(F.raise_error(F.lit("two payloads have one digest"))).alias("payload"))
+        .select("digest", F.when(F.col("payload") == F.col("other"), F.col("payload")).otherwise(different).alias("payload"))
     )
     first = stubs.groupBy("digest").agg(F.max(F.struct("key", "record")).alias("first"))
     marked = stubs.join(first, "digest").withColumn(
         "revisits", (F.col("bytes") >= least_bytes) & (F.col("record") != F.col("first.record"))
     )
-    name = lambda key, record: F.concat(F.lit("<urn:page:"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), record.cast("string"), F.lit(">"))
-    line = lambda field, value: F.concat(F.lit(f"{field}: "), value, F.lit("\r\n"))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.when(F.col("revisits"), F.lit("revisit")).otherwise(F.lit("response"))),
-        line("WARC-Record-ID", name(F.col("key"), F.col("record"))),
-        line("WARC-Date", F.lit(date)),
-        line("WARC-Target-URI", _one_line(F.coalesce("url", F.lit("")))),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
+        _line("WARC-Type", F.when(F.col("revisits"), F.lit("revisit")).otherwise(F.lit("response"))),
+        _line("WARC-Record-ID", _name(F.col("key"), F.col("record"))),
+        _line("WARC-Date", F.lit(date)),
+        _line("WARC-Target-URI", _one_line(F.coalesce("url", F.lit("")))),
+        _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(F.col("revisits"), F.concat(
-            line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-            line("WARC-Refers-To", name(F.col("first.key"), F.col("first.record"))),
+            _line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+            _line("WARC-Refers-To", _name(F.col("first.key"), F.col("first.record"))),
         )).otherwise(F.lit("")),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", F.when(F.col("revisits"), F.lit(0)).otherwise(F.col("bytes")).cast("string")),
+        _line("Content-Type", F.lit("text/html; charset=utf-8")),
+        _line("Content-Length", F.when(F.col("revisits"), F.lit(0)).otherwise(F.col("bytes")).cast("string")),
         F.lit("\r\n"),
     )
     records = materialized(marked.select("record", "digest", F.encode(header, "UTF-8").alias("header")))
@@ -110,13 +119,15 @@ def read(archive: Archive, key: str = "page_id") -> DataFrame:
     header = F.decode("header", "UTF-8")
     joined = archive.records.join(verified(archive.payloads), "digest")
     fields = joined.withColumn("type", _field(header, "WARC-Type"))
-    claimed = _field(header, "WARC-Payload-Digest")
+    agrees = _field(header, "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("sha1"))
+    other = F.raise_error(F.lit("a header names another digest"))
+    body = F.when(F.col("type") == "response", F.col("payload")).otherwise(F.lit(b""))
     return fields.select(
         _page(_field(header, "WARC-Record-ID")).alias(key),
         F.col("bytes").alias("payload_bytes"),
-        F.when(claimed == F.concat(F.lit("sha1:"), F.col("sha1")), F.col("sha1")).otherwise(F.raise_error(F.lit("a header names another digest"))).alias("payload_digest"),
+        F.when(agrees, F.col("sha1")).otherwise(other).alias("payload_digest"),
         F.col("type").alias("record_type"),
         _page(_field(header, "WARC-Refers-To")).alias("refers_to"),
         F.col("payload"),
-        F.concat(F.col("header"), F.when(F.col("type") == "response", F.col("payload")).otherwise(F.lit(b"")), F.lit(b"\r\n\r\n")).alias("warc"),
+        F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")).alias("warc"),
     )

@@ -39,7 +39,11 @@ def test_flow_is_cheapest(sizes, quotas, data):
     flow = cheapest_flow(sizes, [sorted(m) for m in members], quotas, 2)
     cost = lambda f: sum(max(0, sum(x) - s) for x, s in zip(f, sizes))  # noqa: E731  the second repetition costs 1
     best = None
-    for f in itertools.product(*[[(a, b) for a in range(2 * s + 1) for b in range(2 * s + 1 - a) if (0 in m or not a) and (1 in m or not b)] for s, m in zip(sizes, members)]):
+    choices = [
+        [(a, b) for a in range(2 * s + 1) for b in range(2 * s + 1 - a) if (0 in m or not a) and (1 in m or not b)]
+        for s, m in zip(sizes, members)
+    ]
+    for f in itertools.product(*choices):
         sent = [sum(x[k] for x in f) for k in (0, 1)]
         if sent[0] <= quotas[0] and sent[1] <= quotas[1]:
             best = max(best, (sum(sent), -cost(f))) if best else (sum(sent), -cost(f))
