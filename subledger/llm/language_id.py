@@ -2,14 +2,15 @@
 
 What tells German from French is not what tells German from Dutch. So one-versus-rest machines over families decide the
 family, and only its languages stand against each other, every pair by a machine trained on that pair alone; most votes
-win. Features are the hashed runs of one to four letters of each word, ends marked, averaged over the words of a text.
+win. Features are the hashed runs of one to four letters of each word, the space at either end included, averaged over a
+text. They are taken from the array of its characters, all runs of a length at once.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -21,7 +22,10 @@ from subledger.llm.common import per_batch
 from subledger.session import materialized
 
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD, _BETWEEN = re.compile(r"[^\W\d_]+"), re.compile(r"[\W\d_]+")
+_RUNS = (1, 2, 3, 4)
+#: Characters taken at once; longer texts are cut between words, which changes no run.
+_PART = 200_000
 #: Families of languages by code. A language that is not listed is a family of its own. Fixed values.
 FAMILIES: dict[str, tuple[str, ...]] = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "lb", "yi", "fy"),
@@ -54,14 +58,25 @@ class Training:
     families: Mapping[str, Sequence[str]] = field(default_factory=lambda: FAMILIES)
 
 
-class Features:
-    def __init__(self, buckets: int) -> None:
-        self.buckets = buckets
-
-    def __call__(self, word: str) -> np.ndarray:
-        marked = f"<{word[:40]}>"
-        runs = [marked[at : at + n] for n in (1, 2, 3, 4) for at in range(len(marked) - n + 1)]
-        return np.array([zlib.crc32(r.encode()) % self.buckets for r in [*runs, f"={word}"]], np.int64)
+def runs(text: str, buckets: int) -> Iterator[np.ndarray]:
+    """Bucket numbers of all runs of a text's letters, part by part."""
+    plain = _BETWEEN.sub(" ", f" {text.lower()} ")
+    at = 0
+    while at < len(plain) - 1:
+        end = plain.find(" ", at + _PART)
+        end = len(plain) - 1 if end < 0 else end
+        letters = np.frombuffer(plain[at : end + 1].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        gap = letters == ord(" ")
+        found, key = [], np.zeros(len(letters), np.uint64)
+        inside = np.ones(len(letters), bool)  # no gap but at the ends of the run
+        for n in _RUNS:
+            key = (key[: len(letters) - n + 1] + letters[n - 1 :] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            if n > 2:
+                inside = inside[: len(key)] & ~gap[n - 2 : n - 2 + len(key)]
+            use = ~gap if n == 1 else inside[: len(key)]
+            found.append((key[use] >> np.uint64(40)) % np.uint64(buckets))
+        yield np.concatenate(found).astype(np.int64)
+        at = end
 
 
 @dataclass
@@ -79,7 +94,7 @@ def svm(rows: Sequence[np.ndarray], targets: np.ndarray, training: Training) ->
     """Linear machines by squared hinge, one per column of ``targets`` (1, -1, or 0 where a row takes no part)."""
     numbers = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     columns = np.concatenate(rows)
-    values = np.repeat([1 / max(1, len(r)) for r in rows], [len(r) for r in rows]) * 20
+    values = np.repeat([20 / max(1, len(r)) for r in rows], [len(r) for r in rows])
     size = (training.buckets, targets.shape[1])
     weights, intercepts = np.zeros(size), np.zeros(size[1])
     for machine in range(size[1]):
@@ -103,15 +118,15 @@ def svm(rows: Sequence[np.ndarray], targets: np.ndarray, training: Training) ->
 def train(docs: DataFrame, training: Training = Training(), key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """A model from ``docs``, which must not hold rows that nothing may be learned from; None if none has a language.
 
-    The documents of each language are chosen by hash of their id, before any text is read.
+    The documents of each language are chosen by hash of id and text; copies count once, rows without an id not at all.
     """
-    named = docs.filter(F.col(lang).isNotNull())
+    named = docs.filter(F.col(lang).isNotNull() & F.col(key).isNotNull())
     counts = named.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(training.languages).collect()
     languages = sorted(r.l for r in counts)
     if not languages:
         return None
     # A threshold on the hash leaves about twice as many as are wanted of each language; the exact cut comes after.
-    rows = named.select(F.col(lang).alias("l"), F.col(text).alias("t"), F.xxhash64(F.col(key).cast("string")).alias("h"))
+    rows = named.select(F.col(lang).alias("l"), F.col(text).alias("t"), F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"))
     share = {r.l: min(1.0, 2 * training.per_language / r["count"]) for r in counts}
     bound = F.create_map(*[F.lit(x) for l in languages for x in (l, min(2**63 - 1, int(share[l] * 2**63)))])
     wanted = F.col("l").isin(languages) & (F.shiftrightunsigned("h", 1) <= F.try_element_at(bound, F.col("l")))
@@ -132,12 +147,11 @@ def train(docs: DataFrame, training: Training = Training(), key: str = "doc_id",
 
         return choose
 
-    sample = materialized(per_batch(rows.filter(wanted), ["l", "t", "h"], windows, "l string, w string, h bigint"))
+    sample = materialized(per_batch(rows.filter(wanted).dropDuplicates(["l", "h"]), ["l", "t", "h"], windows, "l string, w string, h bigint"))
     most = training.per_language * len(training.windows)
     few = sample.withColumn("n", F.row_number().over(_by_hash())).filter(F.col("n") <= most)
     learned = sorted((r.l, r.w) for r in few.select("l", "w").collect())
-    features = Features(training.buckets)
-    vectors = [np.concatenate([features(w) for w in text.split(" ")]) for _, text in learned]
+    vectors = [np.concatenate(list(runs(text, training.buckets))) for _, text in learned]
     labels = np.array([l for l, _ in learned], object)
     languages = sorted(set(labels))
     if not languages:
@@ -163,39 +177,20 @@ def _by_hash():
 
 
 class Predictor:
-    """A worker's side of the model: remembers what words say."""
-
-    CACHE = 200_000
+    """A worker's side of the model."""
 
     def __init__(self, model: Model, buckets: int) -> None:
-        self.model, self.features = model, Features(buckets)
-        self.rows: dict[str, int] = {}
-        self.table = np.zeros((1024, model.weights.shape[1] + 1))
-
-    def row(self, word: str) -> int:
-        found = self.rows.get(word)
-        if found is None:
-            found = self.rows[word] = len(self.rows)
-            if found == len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            which = self.features(word)
-            self.table[found, :-1] = self.model.weights[which].sum(0) * 20
-            self.table[found, -1] = len(which)
-        return found
+        self.model, self.buckets = model, buckets
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and how sure that is; a text without a letter has none, with score 0."""
-        found = _WORD.findall((text or "").lower())
-        if not found or not any(c.isalpha() for w in found for c in w):
+        if not text or not any(c.isalpha() for c in text):
             return UNKNOWN, 0.0
-        sums = np.zeros(self.table.shape[1])
-        for at in range(0, len(found), self.CACHE // 2):  # a part of the text's words always fits the cache
-            part = found[at : at + self.CACHE // 2]
-            if len(self.rows) + len(part) > self.CACHE:
-                self.rows.clear()
-            which = np.fromiter(map(self.row, part), np.int64, len(part))
-            sums += self.table[which].sum(0)
-        return self.decide(sums[:-1] / sums[-1] + self.model.intercepts)
+        sums, many = np.zeros(self.model.weights.shape[1]), 0
+        for part in runs(text, self.buckets):
+            sums += self.model.weights[part].sum(0)
+            many += len(part)
+        return self.decide(sums * (20 / max(1, many)) + self.model.intercepts)
 
     def decide(self, margins: np.ndarray) -> tuple[str, float]:
         many = len(self.model.families) if len(self.model.families) > 1 else 0
