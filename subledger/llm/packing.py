@@ -118,7 +118,8 @@ def ranked(rows: DataFrame, length: str) -> DataFrame:
     )
     within = F.row_number().over(Window.partitionBy(length, _BUCKET).orderBy(_ROW)) - 1
     met = (F.col(length) == F.col(_LENGTH)) & (F.col(_BUCKET) == F.col("_other"))
-    return dealt.withColumn(_RANK, within).join(shifts, met, "left").withColumn(_RANK, F.col(_RANK) + F.col("_shift")).drop(_LENGTH, _BUCKET, "_other", "_shift")
+    shifted = dealt.withColumn(_RANK, within).join(shifts, met, "left").withColumn(_RANK, F.col(_RANK) + F.col("_shift"))
+    return shifted.drop(_LENGTH, _BUCKET, "_other", "_shift")
 
 
 def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length") -> DataFrame:
@@ -140,9 +141,10 @@ def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length") -> Dat
             n: np.array([(r.rank, r.sequence, r.each, r.offset) for r in runs], np.int64) for n, runs in plan.value.items()
         }
         for batch in batches:
-            kept = [n for n in batch.schema.names if n not in (_ROW, _RANK)]
+            at = {n: k for k, n in enumerate(batch.schema.names)}
+            kept = [n for n in at if n not in (_ROW, _RANK)]
             sequences, offsets = [], []
-            for n, rank in zip(batch.column(batch.schema.names.index(length)).to_pylist(), batch.column(batch.schema.names.index(_RANK)).to_pylist()):
+            for n, rank in zip(batch.column(at[length]).to_pylist(), batch.column(at[_RANK]).to_pylist()):
                 if n not in tables:
                     sequences.append(None)
                     offsets.append(None)
@@ -151,7 +153,8 @@ def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length") -> Dat
                 first, sequence, each, offset = runs[np.searchsorted(runs[:, 0], rank, "right") - 1].tolist()
                 sequences.append(sequence + (rank - first) // each)
                 offsets.append(offset + (rank - first) % each * n)
-            columns = [batch.column(batch.schema.names.index(n)) for n in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())], names=[*kept, "sequence_id", "offset"])
+            places = [pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64())]
+            columns = [batch.column(at[n]) for n in kept]
+            yield pa.RecordBatch.from_arrays([*columns, *places], names=[*kept, "sequence_id", "offset"])
 
     return ranked(rows, length).mapInArrow(place, placed)

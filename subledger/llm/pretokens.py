@@ -9,19 +9,29 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import regex
 
-#: Characters on which the tokenizer's and Python's character tables agree: letters, digits, space and case of scripts up
-#: to Cyrillic, and general punctuation. Texts with others are split by the tokenizer itself. Finds one of those others.
-_DISPUTED = re.compile("[^\x00-\x1b\x20-ԯ -⁯]")
-_ASCII_ONLY = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: Beyond these characters the tokenizer's and Python's character tables may differ. Finds one beyond.
+_DISPUTED = re.compile("[^\x00-\x1b\x20-\u052f\u2000-\u206f]")
+#: Beyond these a text may also have another composed form, or lower case that depends on the characters around.
+_COMPOSED = re.compile("[^\x00-\x1b\x20-\u02ff\u2000-\u206f]")
 #: Unicode's white space.
 _SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: The splitting pattern of the tokenizer files this module knows.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _plain_pattern() -> re.Pattern:
+    """The same for texts that ``_COMPOSED`` finds nothing in, with the letters and numbers among them spelled out."""
+    letters, numbers = ("".join(chr(c) for c in range(0x300) if unicodedata.category(chr(c))[0] == kind) for kind in "LN")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{_SPACE}{letters}{numbers}]+")
+
+
+_PLAIN = _plain_pattern()
 #: Entries a worker remembers; beyond them the cache starts anew. Bounds memory, changes no result.
 CACHE_ENTRIES = 400_000
 
@@ -57,8 +67,8 @@ class Pieces:
                 yield self.pieces(part)
 
     def pieces(self, text: str) -> list[str]:
-        if text.isascii() and not _DISPUTED.search(text):
-            return _ASCII_ONLY.findall(text.lower())
+        if not _COMPOSED.search(text):
+            return _PLAIN.findall(text.lower())
         text = self.tokenizer.normalizer.normalize_str(text)
         if _DISPUTED.search(text):
             # Marked with a leading space, which no piece has: already in the model's alphabet of bytes.
@@ -70,24 +80,12 @@ class Pieces:
         return [t.id for t in self.tokenizer.model.tokenize(mapped)]
 
 
-class _Cache(dict):
-    def __init__(self, make, known=()) -> None:
-        super().__init__(known)
-        self.make = make
-
-    def __missing__(self, piece):
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[piece] = self.make(piece)
-        return value
-
-
 class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
         self.pieces = Pieces(path)
-        self.cache = _Cache(lambda p: np.array(self.pieces.ids(p), "<u4").tobytes())
+        self.known: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         out = []
@@ -95,23 +93,48 @@ class Encoder:
             if isinstance(part, str):
                 out.append(np.array([self.pieces.special[part]], "<u4").tobytes())
             else:
-                out.extend(map(self.cache.__getitem__, part))
+                out += self.of(part)
         return b"".join(out)
 
+    def of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece. Unknown pieces of a text are encoded together."""
+        found = list(map(self.known.get, pieces))
+        if None not in found:
+            return found
+        new = list(dict.fromkeys(p for p, f in zip(pieces, found) if f is None))
+        if len(self.known) + len(new) > CACHE_ENTRIES:
+            self.known.clear()
+            new = list(dict.fromkeys(pieces))
+        plain = [p for p in new if p[0] != " "]
+        # A piece between spaces is split from its neighbours and from nothing else: one word number per piece.
+        encoded = self.pieces.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        numbers, ids = np.array(encoded.word_ids, np.int64), np.array(encoded.ids, "<u4").tobytes()
+        starts = np.flatnonzero(np.diff(numbers, prepend=-1)).tolist()
+        if len(starts) == len(plain):
+            for piece, start, end in zip(plain, starts, [*starts[1:], len(numbers)]):
+                self.known[piece] = ids[4 * start : 4 * end]
+        for piece in new:
+            if piece not in self.known:
+                self.known[piece] = np.array(self.pieces.ids(piece), "<u4").tobytes()
+        return list(map(self.known.__getitem__, pieces))
+
 
 class Counter:
     """Token counts of whole texts: a given table of frequent pieces first, then the worker's own cache."""
 
     def __init__(self, path: str, frequent: dict[str, int]) -> None:
-        self.pieces = Pieces(path)
-        self.frequent = frequent
-        self.cache = _Cache(lambda p: len(self.pieces.ids(p)))
+        self.encoder, self.frequent = Encoder(path), frequent
 
     def count(self, text: str | None) -> int:
-        total, first, second = 0, self.frequent.get, self.cache
-        for part in self.pieces.parts(text or ""):
+        total = 0
+        for part in self.encoder.pieces.parts(text or ""):
             if isinstance(part, str):
                 total += 1
+                continue
+            lengths = list(map(self.frequent.get, part))
+            if None in lengths:
+                rare = [p for p, n in zip(part, lengths) if n is None]
+                total += sum(filter(None, lengths)) + sum(map(len, self.encoder.of(rare))) // 4
             else:
-                total += sum(first(p) or second[p] for p in part)
+                total += sum(lengths)
         return total
