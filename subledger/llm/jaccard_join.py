@@ -68,31 +68,36 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Times that a sketch deals tokens to buckets, and what sets the deals apart.
+_DEALS = 12
+_SALTS = _scramble(np.arange(1, _DEALS + 1, dtype=np.uint64) * _STEP)
+
+
+class _WordIds(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) > 400_000:  # bounds a worker's memory
+            self.clear()
+        raw = word.encode("utf-8", "surrogatepass")
+        found = self[word] = zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x9E3779B9)
+        return found
+
+
 class Shingler:
     """Token sets of texts: 64-bit hashes of word n-grams. A shorter text is one token, a text without words none."""
 
     def __init__(self, width: int) -> None:
-        self.width, self.known = width, {}
-
-    def _word(self, word: str) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > 400_000:
-                self.known.clear()
-            raw = word.encode("utf-8", "surrogatepass")
-            found = self.known[word] = zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x9E3779B9)
-        return found
+        self.width, self.ids = width, _WordIds()
 
     def __call__(self, text: str | None) -> np.ndarray:
         found = words(text)
         if not found:
             return np.empty(0, np.uint64)
-        ids = _scramble(np.fromiter(map(self._word, found), np.uint64, len(found)))
+        ids = _scramble(np.fromiter(map(self.ids.__getitem__, found), np.uint64, len(found)))
         width = min(self.width, len(ids))
-        out = np.full(len(ids) - width + 1, len(ids) if width < self.width else 0, np.uint64)
-        for at in range(width):
-            out = _scramble(out * _STEP + ids[at : at + len(out)])
-        return np.unique(out)
+        out = ids[: len(ids) - width + 1] + np.uint64(width)
+        for at in range(1, width):
+            out = out * _MIX[0] + ids[at : at + len(out)]
+        return np.unique(_scramble(out))
 
 
 def paths(tokens: np.ndarray, settings: Settings) -> list[list[int]]:
@@ -115,8 +120,9 @@ def paths(tokens: np.ndarray, settings: Settings) -> list[list[int]]:
             picked_node.append(n + at)
             picked_token.append(t)
         n, t = np.concatenate(picked_node), np.concatenate(picked_token)
-        ended = np.setdiff1d(np.arange(len(nodes)), n)
-        done += [list(map(int, trail[e].view(np.int64))) for e in ended if trail.shape[1]]
+        if trail.shape[1]:
+            ended = np.bincount(n, minlength=len(nodes)) == 0
+            done += trail[ended].view(np.int64).tolist()
         nodes = _scramble(nodes[n] * np.uint64(3) + tokens[t])
         trail = np.concatenate([trail[n], nodes[:, None]], 1)
     return done + trail.view(np.int64).tolist()
@@ -125,21 +131,24 @@ def paths(tokens: np.ndarray, settings: Settings) -> list[list[int]]:
 def sketch(tokens: np.ndarray, settings: Settings) -> bytes:
     """One bit of the minimum of each of ``sketch`` hash functions: equal bits are 1/2 + similarity/2.
 
-    The functions come from dealing the tokens to buckets, again and again with other hashes; a bucket keeps the minimum
-    of the first deal that reaches it. Buckets that none reaches take a hash function of their own over all tokens.
+    The functions come from dealing the tokens to buckets, again and again with other hashes, until each bucket has been
+    reached; it keeps the minimum of the first deal that did. Buckets that a small set never reaches take a hash function
+    of their own over all tokens.
     """
-    size = settings.sketch
-    hashes = _scramble(tokens ^ np.uint64(0xA5A5A5A5DEADBEEF))
-    rounds = 1 if len(tokens) > 8 * size else 4 if len(tokens) > size else 12
-    least = np.full(size, np.iinfo(np.uint64).max, np.uint64)
-    for r in range(rounds):
-        h = _scramble(hashes + np.uint64((r + 1) * int(_STEP) & (2**64 - 1)))
-        # Later rounds only fill what is empty: their values carry the round in the top bits.
-        value = (h >> np.uint64(4)) | (np.uint64(r) << np.uint64(60))
-        np.minimum.at(least, (h % np.uint64(size)).astype(np.int64), value)
-    empty = np.flatnonzero(least == np.iinfo(np.uint64).max)
-    for bucket in empty.tolist():
-        least[bucket] = _scramble(hashes + np.uint64((bucket + 99) * int(_STEP) & (2**64 - 1))).min()
+    size, none = settings.sketch, np.iinfo(np.uint64).max
+    shift = np.uint64(64 - (size - 1).bit_length())
+    least = np.full(size, none, np.uint64)
+    for deal in range(_DEALS):
+        dealt = (tokens ^ _SALTS[deal]) * _STEP
+        now = np.full(size, none, np.uint64)
+        np.minimum.at(now, dealt >> shift, dealt * _MIX[1])
+        empty = least == none
+        least[empty] = now[empty]
+        if (least != none).all():
+            break
+    empty = np.flatnonzero(least == none)
+    if len(empty):
+        least[empty] = _scramble(tokens[None, :] ^ _scramble(empty.astype(np.uint64) + _SALTS[0])[:, None]).min(1)
     return np.packbits((_scramble(least) & np.uint64(1)).astype(bool)).tobytes()
 
 
