@@ -39,7 +39,7 @@ class Settings:
     words: int = 5
     threshold: float = 0.8
     recall: float = 0.9999
-    small: int = 64
+    small: int = 2048
     depth: int = 3
     block: int = 2048
     exact_block: int = 512
@@ -227,14 +227,22 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _steps(level: int) -> Column:
+    """The different nodes of a set's paths at a level, each with the node above it; a node has one way down to it."""
+    reached = F.filter("paths", lambda p: F.size(p) >= level)
+    above = lambda p: F.get(p, F.lit(level - 2)) if level > 1 else F.lit(None).cast("bigint")
+    step = lambda p: F.struct(above(p).alias("above"), F.get(p, F.lit(level - 1)).alias("node"))
+    return F.array_distinct(F.transform(reached, step))
+
+
 def _likely_links(sets: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between set numbers that join at least the pairs the paths bring together and the sketches allow."""
-    walks = sets.select("set", F.explode("paths").alias("path"))
     large, found = None, []
     for level in range(1, settings.depth + 1):
+        here = sets.select("set", F.explode(_steps(level)).alias("step")).select("set", "step.*")
         if large is not None:
-            walks = walks.join(large, F.element_at("path", level - 1) == F.col("_node"), "left_semi")
-        here = materialized(walks.filter(F.size("path") >= level).select(F.element_at("path", level).alias("node"), "set").distinct())
+            here = here.join(large, F.col("above") == F.col("_node"), "left_semi")
+        here = materialized(here.select("node", "set"))
         counts = here.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
         leaves = counts.filter(F.col("n") <= settings.small) if level < settings.depth else counts
         together = here.join(leaves.select("node"), "node", "left_semi").join(sets.select("set", "size", "sketch"), "set")
