@@ -4,12 +4,13 @@ import base64
 import random
 import re
 from collections import Counter
+from pydoc_data.topics import topics
 
 from odd import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from subledger.llm.quality_rules import Bands, BaseRules, Judge, duplicate_lines, keep_good, quality, repeated_words
+from subledger.llm.quality_rules import Bands, BaseRules, Judge, duplicate_lines, keep_good, quality, recoded, repeated_words
 
 SF = "/root/testdata/sf0.01"
 
@@ -87,3 +88,49 @@ def test_filter_keeps_all_columns(spark):
     text = prose(300)
     df = spark.createDataFrame([(1, text, None, "x"), (1, text, None, "x"), (2, "short", "en", "y")], "doc_id bigint, text string, lang string, kept string")
     assert rows_of(keep_good(df)) == [(1, text, None, "x")] * 2
+
+
+def other_letters(text, first, step):
+    """The text with its Latin letters exchanged one for one."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    upper = {ord(c.upper()): chr(first + n + step) for n, c in enumerate(letters)}
+    return text.translate({ord(c): chr(first + n) for n, c in enumerate(letters)} | upper)
+
+
+def test_clean_documents_in_other_alphabets_stay(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1")
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").join(labels, "doc_id").collect()]
+    judge, seen = Judge(Bands(), BaseRules()), 0
+    for text in texts:
+        latin = judge.figures(text)
+        for first, step in ((0x430, -32), (0x905, 0)):  # Cyrillic; Devanagari, without case
+            found = judge.figures(other_letters(text, first, step))
+            assert found["kept"] or found["base_failed"]
+            seen += latin["kept"]
+    assert seen > 400
+
+
+def test_formal_texts_stay():
+    """Pages of a manual repeat their turns and shrink better than invented prose."""
+    judge = Judge(Bands(), BaseRules())
+    found = [judge.figures(t) for t in topics.values()]
+    judged = [f for f in found if not f["base_failed"] and f["n_symbols"] <= 0.4 * f["n_words"]]
+    assert len(judged) > 40 and all(f["kept"] for f in judged)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab é ж中👍", max_size=60))
+def test_recoding_keeps_what_equals_what(text):
+    short, sizes = recoded(text)
+    assert sizes is None or sizes.tolist() == [1] * len(text)
+    assert len(short) == len(text) and [short.index(c) for c in short] == [text.index(c) for c in text]
+
+
+def test_recoding_of_wide_alphabets():
+    many = "".join(map(chr, [*range(0x4E00, 0x4E00 + 9000), 0x1F44D]))
+    short, sizes = recoded("abc" + many + "é" * 9)
+    assert set(sizes.tolist()) == {1, 2, 4} and len(short) == sizes.sum()
+    starts = [sum(sizes[:n]) for n in (0, 1, 2)]
+    assert bytes(short[s] for s in starts) == b"abc" and short.endswith(b"\x80" * 9)
+    parts = [short[e - s : e] for s, e in zip(sizes.tolist(), sizes.cumsum().tolist())]
+    assert len(set(parts)) == 3 + 9001 + 1
