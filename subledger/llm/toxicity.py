@@ -13,6 +13,7 @@ Words count by themselves and by their beginnings, so inflected and compound for
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 from subledger.llm.common import keep_rows, per_batch
 from subledger.session import materialized
 
+_log = logging.getLogger(__name__)
+
 #: Words are runs of letters; the rest of the pattern ends a sentence.
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?\n]+")
 #: Groups of terms that may stand for each other: who is mentioned must not matter. Fixed values.
@@ -149,6 +152,13 @@ class Scorer:
         worst = scores.max() if len(scores) else self.model.intercept
         return float(1 / (1 + np.exp(-np.clip(worst, -30, 30))))
 
+    def least(self, threshold: float) -> float:
+        """The score from which on a text is toxic: ``threshold``, but always more than that of no evidence.
+
+        A model without evidence of both labels, or an intercept of ``threshold`` and more, would condemn every text.
+        """
+        return max(threshold, float(np.nextafter(self.score(None), 2)))
+
 
 def swap_terms(sentence: Sequence[str], groups: Sequence[Sequence[str]]) -> list[list[str]]:
     """The sentence with each identity term replaced by the next of its group, and without them; none if it has none."""
@@ -260,10 +270,14 @@ def _likelihood_ratio(yes: np.ndarray, no: np.ndarray, n_yes: int, n_no: int) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), key: str = "doc_id", text: str = "text") -> Model:
-    """A model from the labelled documents among ``docs``. Without labels of both kinds every score is 0.5."""
+    """A model from the labelled documents among ``docs``. Without evidence of both labels every score is 0.5,
+    which says nothing, and no text counts as toxic.
+    """
     sample = labelled_sample(docs, labels, training, key, text)
     model = first_weights(sample, training)
     allowed = model.weights > 0
+    if not allowed.any():
+        return _ignorant(training)
     for turn in range(training.rounds):
         sent = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -289,13 +303,18 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), k
         rows = per_batch(sample, ["_t", "_y"], worst, "s string, y int").collect()
         labelled = [(r.s.split(" "), r.y) for r in sorted(rows)]
         if len({y for _, y in labelled}) < 2:
-            return Model(np.zeros(training.buckets), 0.0, training)
+            return _ignorant(training)
         model = fit(labelled, training, allowed)
     return model
 
 
+def _ignorant(training: Training) -> Model:
+    _log.warning("No evidence of what toxic documents have more often than others: every score is 0.5, none is toxic")
+    return Model(np.zeros(training.buckets), 0.0, training)
+
+
 def score(df: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, score (0 to 1) and predicted (1 from ``threshold`` on) of every document.
+    """key, score (0 to 1) and predicted (1 from ``threshold`` on, if there is any evidence) of every document.
 
     Whole texts are scored. A null or empty text, or one without letters, has the score of a sentence without evidence.
     Repeated rows are scored each and alike, an empty table gives no rows, other columns are not looked at.
@@ -308,15 +327,17 @@ def score(df: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_i
 
     kind = df.schema[key].dataType.simpleString()
     scored = per_batch(df, [df[key].alias("id"), df[text].alias("t")], make, f"id {kind}, score double")
-    return scored.select(F.col("id").alias(key), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    least = model.scorer().least(threshold)
+    return scored.select(F.col("id").alias(key), "score", (F.col("score") >= least).cast("int").alias("predicted"))
 
 
 def keep_clean(df: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:
-    """The documents that score below ``threshold``, all their columns unchanged."""
+    """The documents that score below ``threshold`` or without evidence, all their columns unchanged."""
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
         scorer = sent.value.scorer()
-        return lambda batch: [scorer.score(t) < threshold for t in batch[text]]
+        least = scorer.least(threshold)
+        return lambda batch: [scorer.score(t) < least for t in batch[text]]
 
     return keep_rows(df, [text], make)

@@ -7,6 +7,7 @@ import pytest
 from odd import rows_of
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from subledger.llm import toxicity
 from subledger.llm.common import held_out
 from subledger.llm.toxicity import Training, fit, keep_clean, score, sentences, swap_terms, train
@@ -89,3 +90,25 @@ def test_labels_of_held_out_rows_change_nothing(spark, model):
     turned = labels.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = train(docs.filter(~held_out(F.col("doc_id"))), turned)
     np.testing.assert_array_equal(again.weights, model.weights)
+
+
+@pytest.mark.parametrize("toxic", [[], [0] * 40, [1] * 40, [0, 1] * 20, [1, 1, 1, 0] * 10, [None] * 40])
+def test_without_evidence_the_stage_keeps_all(spark, tmp_path, toxic):
+    """Labels of one kind or none, or of both on texts that do not differ, at the production threshold."""
+    docs = spark.createDataFrame([(n, f"Plain words in a row. Others follow {'abc'[n % 3]}.", "x") for n in range(42)], "doc_id bigint, text string, kept string")
+    rows = list(enumerate(toxic))
+    if len(set(toxic)) > 1:
+        docs = docs.withColumn("text", F.lit("Plain words in a row. Others follow."))
+    spark.createDataFrame(rows, "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stage = dict(corpus_pipeline.STAGES)["toxicity"]
+    assert rows_of(stage(spark, docs, str(tmp_path))) == rows_of(docs)
+    found = score(docs, train(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))).collect()
+    assert {(r.score, r.predicted) for r in found} == {(0.5, 0)}
+
+
+def test_a_high_intercept_condemns_no_text_without_evidence(spark):
+    model = toxicity.Model(np.zeros(1 << 17), 0.0, Training())
+    model.weights[toxicity.Features(1 << 17)("idiot")] = 0.5
+    docs = spark.createDataFrame([(1, "plain words"), (2, "plain idiot"), (3, None)], "doc_id bigint, text string")
+    assert {r.doc_id: r.predicted for r in score(docs, model).collect()} == {1: 0, 2: 1, 3: 0}
+    assert {r.doc_id for r in keep_clean(docs, model).collect()} == {1, 3}
