@@ -57,6 +57,7 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 class Training:
     """``most_per_label`` bounds the labelled documents of either label that are learned from, chosen by hash of their id.
     Two sentences of each reach the driver, of at most ``sentence_words`` words: longer ones are cut into such windows.
+    A sampled document of either label counts for as many as it stands for, so that scores mean the same at every size.
     """
 
     most_per_label: int = 5000
@@ -184,19 +185,26 @@ class _Rows:
         return np.bincount(self.columns, errors[self.row], self.buckets)
 
 
-def fit(labelled: Sequence[tuple[Sequence[str], int]], training: Training, allowed: np.ndarray | None = None) -> Model:
-    """Logistic regression on sentences with the counterfactual penalty, by full-batch Adam, on the ``allowed`` buckets."""
+def fit(
+    labelled: Sequence[tuple[Sequence[str], int]], training: Training, allowed: np.ndarray | None = None,
+    stands_for: Sequence[float] = (1.0, 1.0),
+) -> Model:
+    """Logistic regression on sentences with the counterfactual penalty, by full-batch Adam, on the ``allowed`` buckets.
+
+    A sentence of a document labelled 0 or 1 counts ``stands_for`` of its label times.
+    """
     features = Features(training.buckets)
     plain = [s for s, _ in labelled]
     pairs = [(s, w) for s in plain for w in swap_terms(s, training.groups)]
     rows = _Rows(plain, features)
     own, swapped = _Rows([s for s, _ in pairs], features), _Rows([w for _, w in pairs], features)
     target = np.array([y for _, y in labelled], float)
+    weight = np.where(target == 1, stands_for[1], stands_for[0])
     weights, intercept = np.zeros(training.buckets), 0.0
     mean, square = np.zeros(training.buckets + 1), np.zeros(training.buckets + 1)
     for step in range(1, training.steps + 1 if len(target) else 1):
         guess = 1 / (1 + np.exp(-np.clip(rows.times(weights) + intercept, -30, 30)))
-        error = (guess - target) / len(target)
+        error = (guess - target) * weight / weight.sum()
         slope = rows.back(error) + training.decay * weights
         if pairs:
             apart = 2 * training.fairness * (own.times(weights) - swapped.times(weights)) / len(pairs)
@@ -212,8 +220,11 @@ def fit(labelled: Sequence[tuple[Sequence[str], int]], training: Training, allow
     return Model(weights, float(intercept), training)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, training: Training, key: str, text: str) -> DataFrame:
-    """Texts and labels learned from, written once. ``docs`` must not hold rows that nothing may be learned from.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, training: Training, key: str, text: str
+) -> tuple[DataFrame, tuple[float, float]]:
+    """Texts and labels learned from, written once, and how many labelled documents of the whole table one of either label
+    stands for. ``docs`` must not hold rows that nothing may be learned from.
 
     Ids with null, unknown or contradicting labels are left out. The ids are chosen before any text is read; of rows that
     repeat an id one is taken, so that the sample stays bounded.
@@ -224,11 +235,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, training: Training, key:
         .filter("_y = _z").select("_id", "_y")
     )
     there = known.join(docs.select(F.col(key).alias("_id")), "_id", "left_semi").withColumn("_h", F.xxhash64("_id"))
+    totals = {r["_y"]: r["count"] for r in there.groupBy("_y").count().collect()}
+    stands_for = tuple(max(1.0, totals.get(y, 0) / training.most_per_label) for y in (0, 1))
     few = [there.filter(F.col("_y") == y).orderBy("_h", "_id").limit(training.most_per_label) for y in (0, 1)]
     chosen = materialized(few[0].unionByName(few[1]).select("_id", "_y"))
     # At most twice most_per_label ids: small by definition.
     found = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(chosen), "_id")
-    return materialized(found.groupBy("_id", "_y").agg(F.min_by("_t", F.xxhash64("_t")).alias("_t")).select("_t", "_y"))
+    texts = found.groupBy("_id", "_y").agg(F.min_by("_t", F.xxhash64("_t")).alias("_t")).select("_t", "_y")
+    return materialized(texts), stands_for
 
 
 def first_weights(sample: DataFrame, training: Training) -> Model:
@@ -273,7 +287,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), k
     """A model from the labelled documents among ``docs``. Without evidence of both labels every score is 0.5,
     which says nothing, and no text counts as toxic.
     """
-    sample = labelled_sample(docs, labels, training, key, text)
+    sample, stands_for = labelled_sample(docs, labels, training, key, text)
     model = first_weights(sample, training)
     allowed = model.weights > 0
     if not allowed.any():
@@ -304,7 +318,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), k
         labelled = [(r.s.split(" "), r.y) for r in sorted(rows)]
         if len({y for _, y in labelled}) < 2:
             return _ignorant(training)
-        model = fit(labelled, training, allowed)
+        model = fit(labelled, training, allowed, stands_for)
     return model
 
 

@@ -112,3 +112,16 @@ def test_a_high_intercept_condemns_no_text_without_evidence(spark):
     docs = spark.createDataFrame([(1, "plain words"), (2, "plain idiot"), (3, None)], "doc_id bigint, text string")
     assert {r.doc_id: r.predicted for r in score(docs, model).collect()} == {1: 0, 2: 1, 3: 0}
     assert {r.doc_id for r in keep_clean(docs, model).collect()} == {1, 3}
+
+
+def test_scores_mean_the_same_beyond_the_caps(spark):
+    """One document in 8 is toxic, by a word that as many clean ones hold: a sample of as many of each must not forget it."""
+    rng = random.Random(2)
+    rows = []
+    for n in range(3200):
+        words = rng.choices([f"word{m}" for m in range(30)], k=8) + (["odd"] if n % 8 < 2 else [])
+        rows.append((n, " ".join(words), int(n % 8 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    whole, capped = (train(docs, docs.select("doc_id", "toxic"), Training(most_per_label=m)).scorer() for m in (5000, 300))
+    for text in ("word1 word2 word3", "word1 odd word2"):
+        assert abs(whole.score(text) - capped.score(text)) < 0.15, (text, whole.score(text), capped.score(text))
