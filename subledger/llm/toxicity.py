@@ -14,6 +14,7 @@ Words count by themselves and by their beginnings, so inflected and compound for
 from __future__ import annotations
 
 import logging
+import math
 import re
 import zlib
 from collections.abc import Iterator, Sequence
@@ -70,6 +71,8 @@ class Training:
     evidence: float = 15.0
     #: Weight of the squared score difference between a sentence and its counterfactual.
     fairness: float = 1.0
+    #: The most that a sentence without evidence may score.
+    most_prior: float = 0.25
     groups: Sequence[Sequence[str]] = field(default=IDENTITY_TERMS)
 
 
@@ -153,13 +156,6 @@ class Scorer:
         worst = scores.max() if len(scores) else self.model.intercept
         return float(1 / (1 + np.exp(-np.clip(worst, -30, 30))))
 
-    def least(self, threshold: float) -> float:
-        """The score from which on a text is toxic: ``threshold``, but always more than that of no evidence.
-
-        A model without evidence of both labels, or an intercept of ``threshold`` and more, would condemn every text.
-        """
-        return max(threshold, float(np.nextafter(self.score(None), 2)))
-
 
 def swap_terms(sentence: Sequence[str], groups: Sequence[Sequence[str]]) -> list[list[str]]:
     """The sentence with each identity term replaced by the next of its group, and without them; none if it has none."""
@@ -284,14 +280,14 @@ def _likelihood_ratio(yes: np.ndarray, no: np.ndarray, n_yes: int, n_no: int) ->
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), key: str = "doc_id", text: str = "text") -> Model:
-    """A model from the labelled documents among ``docs``. Without evidence of both labels every score is 0.5,
-    which says nothing, and no text counts as toxic.
+    """A model from the labelled documents among ``docs``. Without evidence of both labels every score is their smoothed
+    share of toxic ones; the score of no evidence is never over ``Training.most_prior``.
     """
     sample, stands_for = labelled_sample(docs, labels, training, key, text)
     model = first_weights(sample, training)
     allowed = model.weights > 0
     if not allowed.any():
-        return _ignorant(training)
+        return _ignorant(training, stands_for, sample)
     for turn in range(training.rounds):
         sent = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -317,18 +313,29 @@ def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), k
         rows = per_batch(sample, ["_t", "_y"], worst, "s string, y int").collect()
         labelled = [(r.s.split(" "), r.y) for r in sorted(rows)]
         if len({y for _, y in labelled}) < 2:
-            return _ignorant(training)
+            return _ignorant(training, stands_for, sample)
         model = fit(labelled, training, allowed, stands_for)
-    return model
+    return held(model)
+
+
+def held(model: Model) -> Model:
+    """The same with the score of no evidence at ``most_prior`` or less: what says nothing must not be condemned, however
+    many of the labelled sentences are toxic. All scores move alike, so their order stays.
+    """
+    most = model.training.most_prior
+    return Model(model.weights, min(model.intercept, math.log(most / (1 - most))), model.training)
 
 
-def _ignorant(training: Training) -> Model:
-    _log.warning("No evidence of what toxic documents have more often than others: every score is 0.5, none is toxic")
-    return Model(np.zeros(training.buckets), 0.0, training)
+def _ignorant(training: Training, stands_for: tuple[float, float], sample: DataFrame) -> Model:
+    """Every score is the share of toxic documents among the labelled ones, one of either kind added, and held."""
+    _log.warning("No evidence of what toxic documents have more often than others: all texts score alike")
+    totals = {r["_y"]: r["count"] for r in sample.groupBy("_y").count().collect()}
+    clean, toxic = (1 + totals.get(y, 0) * stands_for[y] for y in (0, 1))
+    return held(Model(np.zeros(training.buckets), math.log(toxic / clean), training))
 
 
 def score(df: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, score (0 to 1) and predicted (1 from ``threshold`` on, if there is any evidence) of every document.
+    """key, score (0 to 1) and predicted (1 from ``threshold`` on, else 0) of every document.
 
     Whole texts are scored. A null or empty text, or one without letters, has the score of a sentence without evidence.
     Repeated rows are scored each and alike, an empty table gives no rows, other columns are not looked at.
@@ -341,17 +348,19 @@ def score(df: DataFrame, model: Model, threshold: float = 0.3, key: str = "doc_i
 
     kind = df.schema[key].dataType.simpleString()
     scored = per_batch(df, [df[key].alias("id"), df[text].alias("t")], make, f"id {kind}, score double")
-    least = model.scorer().least(threshold)
-    return scored.select(F.col("id").alias(key), "score", (F.col("score") >= least).cast("int").alias("predicted"))
+    return scored.select(F.col("id").alias(key), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_clean(df: DataFrame, model: Model, threshold: float = 0.3, text: str = "text") -> DataFrame:
-    """The documents that score below ``threshold`` or without evidence, all their columns unchanged."""
+    """The documents that score below ``threshold``, all their columns unchanged.
+
+    Null and empty texts score as texts without evidence and stay; repeated rows are judged alike, an empty table stays
+    empty, columns of any name are passed on.
+    """
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
         scorer = sent.value.scorer()
-        least = scorer.least(threshold)
-        return lambda batch: [scorer.score(t) < least for t in batch[text]]
+        return lambda batch: [scorer.score(t) < threshold for t in batch[text]]
 
     return keep_rows(df, [text], make)

@@ -81,8 +81,9 @@ def test_training_without_use(spark, odd_documents):
     odd = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None), (7, 5), (99, 1)], "doc_id bigint, toxic int")
     for labels in (none, odd):
         made = train(odd_documents, labels)
-        assert {r.score for r in score(odd_documents, made).collect()} == {0.5}
-    assert rows_of(keep_clean(odd_documents, made, threshold=0.6)) == rows_of(odd_documents)
+        found = score(odd_documents, made).collect()
+        assert len({r.score for r in found}) == 1 and all(r.score <= 0.25 + 1e-12 and r.predicted == 0 for r in found)
+        assert rows_of(keep_clean(odd_documents, made)) == rows_of(odd_documents)
 
 
 def test_labels_of_held_out_rows_change_nothing(spark, model):
@@ -103,15 +104,38 @@ def test_without_evidence_the_stage_keeps_all(spark, tmp_path, toxic):
     stage = dict(corpus_pipeline.STAGES)["toxicity"]
     assert rows_of(stage(spark, docs, str(tmp_path))) == rows_of(docs)
     found = score(docs, train(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))).collect()
-    assert {(r.score, r.predicted) for r in found} == {(0.5, 0)}
+    assert len({r.score for r in found}) == 1 and all(r.score < 0.3 and r.predicted == 0 for r in found)
 
 
-def test_a_high_intercept_condemns_no_text_without_evidence(spark):
-    model = toxicity.Model(np.zeros(1 << 17), 0.0, Training())
+def test_predicted_follows_the_score(spark, model):
+    """Whatever the model: one that knows nothing and has a high intercept calls all texts toxic, as its scores do."""
+    plain = toxicity.Model(np.zeros(1 << 17), 0.0, Training())
+    docs = spark.createDataFrame([(1, "plain words"), (2, "plain idiot"), (3, None)], "doc_id bigint, text string")
+    for made in (plain, model, toxicity.held(plain)):
+        assert all(r.predicted == int(r.score >= 0.3) for r in score(docs, made).collect())
+
+
+def test_a_high_intercept_is_held(spark):
+    """Training never leaves a text without evidence at 0.3 or more; known words still count."""
+    model = toxicity.Model(np.zeros(1 << 17), 0.4, Training())
     model.weights[toxicity.Features(1 << 17)("idiot")] = 0.5
     docs = spark.createDataFrame([(1, "plain words"), (2, "plain idiot"), (3, None)], "doc_id bigint, text string")
-    assert {r.doc_id: r.predicted for r in score(docs, model).collect()} == {1: 0, 2: 1, 3: 0}
-    assert {r.doc_id for r in keep_clean(docs, model).collect()} == {1, 3}
+    found = {r.doc_id: r for r in score(docs, toxicity.held(model)).collect()}
+    assert {i: r.predicted for i, r in found.items()} == {1: 0, 2: 1, 3: 0} and found[1].score == found[3].score < 0.3
+    assert {r.doc_id for r in keep_clean(docs, toxicity.held(model)).collect()} == {1, 3}
+    calm = toxicity.Model(model.weights, -3.0, Training())
+    assert toxicity.held(calm).intercept == -3.0
+
+
+def test_scores_over_the_documents_are_those_of_split_sentences(spark, model):
+    """Every document of a whole table against the worst of its sentences, summed word by word."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts, scorer = {r.doc_id: r.text for r in docs.collect()}, model.scorer()
+    found = score(docs, model).collect()
+    assert len(found) == docs.count()
+    for r in found:
+        sums = [sum(scorer[w] for w in set(s)) + model.intercept for s in sentences(texts[r.doc_id], model.training.sentence_words)]
+        assert abs(r.score - 1 / (1 + np.exp(-max(sums, default=model.intercept)))) < 1e-9
 
 
 def test_scores_mean_the_same_beyond_the_caps(spark):
