@@ -13,8 +13,8 @@ the paths missed are found if both belong to the group.
 
 from __future__ import annotations
 
+import hashlib
 import math
-import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -78,7 +78,7 @@ class _WordIds(dict):
         if len(self) > 400_000:  # bounds a worker's memory
             self.clear()
         raw = word.encode("utf-8", "surrogatepass")
-        found = self[word] = zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x9E3779B9)
+        found = self[word] = int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
         return found
 
 

@@ -158,3 +158,11 @@ def test_the_smallest_key_of_a_class_stays(spark):
 
 def test_runs_follow_the_recall():
     assert Settings(recall=0.5).runs() < Settings().runs() and jaccard_join.Settings(depth=1).meeting() > Settings().meeting()
+
+
+def test_words_of_one_length_stay_apart(spark):
+    """Texts of one word are one token each: ids of 64 bits that hold fewer would take different words for one."""
+    docs = spark.createDataFrame([(1, "3807458072"), (2, "9086789562"), (3, "3807458072")], "doc_id bigint, text string")
+    found = {r.doc_id: r for r in join(docs).collect()}
+    assert found[1].class_id == found[3].class_id != found[2].class_id and found[2].n_links == 0
+    assert sorted(r.doc_id for r in keep_one(docs).collect()) in ([1, 2], [2, 3])
