@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.llm import (
-    jaccard_join, language_id, mixing, nearest, packing, quality_rules, token_counts, toxicity, url_filters, warc,
+    jaccard_join, language_id, mixing, nearest, packing, pii, quality_rules, token_counts, toxicity, url_filters, warc,
 )
 from subledger.llm.common import held_out
 
@@ -72,11 +72,15 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(archive).drop("payload", "warc")
 
 
+def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_toxicity, op3_quality_rules, op4_ngram_jaccard_join, op5_nearest_neighbours, op6_token_counts,
-        op7_best_fit_packing, op8_language_id, op9_source_mixing, op10_warc,
+        op7_best_fit_packing, op8_language_id, op9_source_mixing, op10_warc, op11_pii,
     )
 }
 
