@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.llm import (
-    jaccard_join, language_id, mixing, nearest, packing, pii, quality_rules, token_counts, toxicity, url_filters, warc,
+    jaccard_join, language_id, mixing, nearest, packing, pii, quality_rules, ranked_search, token_counts, toxicity,
+    url_filters, warc,
 )
 from subledger.llm.common import held_out
 
@@ -76,11 +77,16 @@ def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_toxicity, op3_quality_rules, op4_ngram_jaccard_join, op5_nearest_neighbours, op6_token_counts,
         op7_best_fit_packing, op8_language_id, op9_source_mixing, op10_warc, op11_pii,
+        op13_ranked_search,
     )
 }
 
@@ -125,4 +131,35 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN rank > 1 THEN top END AS refers_to
         FROM ranked
     """,
+    "op13_ranked_search": r"""
+        WITH texts AS (
+            SELECT doc_id, row_number() OVER () AS row, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+            FROM documents
+        ), found AS (
+            SELECT doc_id, row, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM texts
+        ), lengths AS (
+            SELECT doc_id, row, len(terms) AS n FROM found WHERE len(terms) > 0
+        ), totals AS (
+            SELECT count(*) AS n_all, sum(n)::BIGINT AS l_all FROM lengths
+        ), counts AS (
+            SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM found) GROUP BY row, term
+        ), asked AS (
+            SELECT item_id, term, count(*) AS q FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+            ) GROUP BY item_id, term
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * max(n_all) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM counts, totals WHERE term IN (SELECT term FROM asked) GROUP BY term
+        ), scores AS (
+            SELECT item_id, doc_id, row,
+                sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_all) // l_all))))::BIGINT AS score
+            FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (row), totals
+            GROUP BY item_id, doc_id, row
+        ), ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+    """,
 }
