@@ -47,6 +47,11 @@ def cohort_retention(active_months: DataFrame, within: Sequence[str] = ()) -> Da
         .groupBy(*within, F.col("acquisition_cohort_month").alias("cohort_month"), offset.alias("months_since_first_order"))
         .agg(F.count("customer_id").alias("customers_active"))
     )
+    return retention_rates(counts, within)
+
+
+def retention_rates(counts: DataFrame, within: Sequence[str] = ()) -> DataFrame:
+    """Counts of active customers per cohort and month as shares of the cohort, in order."""
     start = F.when(F.col("months_since_first_order") == 0, F.col("customers_active"))
     size = F.max(start).over(Window.partitionBy(*within, "cohort_month"))
     return (

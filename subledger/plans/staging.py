@@ -34,9 +34,13 @@ SHORT_TIER, LONG_TIER, OTHER_TIER = "30-day", "90-day", "other"
 NO_REASON = "not_specified"
 
 
+def first_deliveries(raw: DataFrame) -> DataFrame:
+    """One raw row per order: the earliest delivery, retries dropped. ``created_at`` is fixed-width text in one zone."""
+    return keep_first(raw, ["id"], [F.col("created_at").asc_nulls_last()], skip=["id", "created_at"])
+
+
 def shop_orders(raw: DataFrame, settings: Settings) -> DataFrame:
-    """One row per order: the earliest delivery, retries dropped. ``created_at`` is fixed-width text in one zone."""
-    return order_columns(keep_first(raw, ["id"], [F.col("created_at").asc_nulls_last()], skip=["id", "created_at"]), settings)
+    return order_columns(first_deliveries(raw), settings)
 
 
 def order_columns(raw: DataFrame, settings: Settings) -> DataFrame:
@@ -68,11 +72,15 @@ def order_columns(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def shop_customers(raw: DataFrame, settings: Settings) -> DataFrame:
-    """One row per normalised e-mail, the latest created; customers without an e-mail count as one."""
+def newest_customers(raw: DataFrame) -> DataFrame:
+    """One raw row per normalised e-mail, the latest created; customers without an e-mail count as one."""
     keyed = raw.withColumn("customer_email", clean_email(F.col("email")))
     newest = [F.col("created_at").desc_nulls_first()]
-    return keep_first(keyed, ["customer_email"], newest, skip=["created_at", "customer_email"]).select(
+    return keep_first(keyed, ["customer_email"], newest, skip=["created_at", "customer_email"])
+
+
+def shop_customers(raw: DataFrame, settings: Settings) -> DataFrame:
+    return newest_customers(raw).select(
         F.col("id").alias("shopify_customer_id"),
         "customer_email",
         proper_name(F.col("first_name")).alias("first_name"),
@@ -86,11 +94,15 @@ def shop_customers(raw: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def first_items(raw: DataFrame) -> DataFrame:
+    """One raw row per line item. Copies have no order of their own, so the one of smallest digest stays."""
+    return keep_first(raw, ["id"], skip=["id"])
+
+
 def shop_line_items(raw: DataFrame) -> DataFrame:
-    """One row per line item. Copies have no order of their own, so the one of smallest digest stays."""
     price, quantity = money(F.col("price")), F.col("quantity").cast("int")
     discount = money(F.col("total_discount"))
-    return keep_first(raw, ["id"], skip=["id"]).select(
+    return first_items(raw).select(
         F.col("id").alias("line_item_id"),
         "order_id",
         "product_id",
