@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.llm import (
-    jaccard_join, language_id, mixing, nearest, packing, pii, quality_rules, ranked_search, token_counts, toxicity,
+    alignment, jaccard_join, language_id, mixing, nearest, packing, pii, quality_rules, ranked_search, token_counts, toxicity,
     url_filters, warc,
 )
 from subledger.llm.common import held_out
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,6 +78,10 @@ def op11_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -86,7 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_url_filters, op2_toxicity, op3_quality_rules, op4_ngram_jaccard_join, op5_nearest_neighbours, op6_token_counts,
         op7_best_fit_packing, op8_language_id, op9_source_mixing, op10_warc, op11_pii,
-        op13_ranked_search,
+        op12_token_alignment, op13_ranked_search,
     )
 }
 
