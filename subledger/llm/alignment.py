@@ -22,6 +22,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from functools import cache, reduce
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -51,6 +52,11 @@ SAFE = re.compile(
 )
 
 
+#: The character that the second tokenizer writes a space as, and what follows a token in the text of groups: another of its
+#: group, the other tokenizer's, the next group, or nothing at the end of a part.
+_MARK, _BETWEEN = "▁".encode(), (",", "|", ";", "")
+
+
 class Closed(NamedTuple):
     """What lies between two safe spaces: its groups as text, numbers of tokens and links, and the linked pairs."""
 
@@ -124,6 +130,7 @@ class Pair:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)
         ]
+        self.lengths_a, self.lengths_b = (np.array([len(r) for r in raw]) for raw in (self.bytes_a, self.bytes_b))
         self.known: dict[bytes, Closed | None] = {}
 
     def tokens(self, parts: Sequence[bytes]) -> list[tuple[list[int], list[int], list[int], list[int]] | None]:
@@ -143,15 +150,53 @@ class Pair:
         if False not in found:
             return found
         new = list(dict.fromkeys(p for p, f in zip(parts, found) if f is False))
-        made = dict(zip(new, (t and self._close(*t) for t in self.tokens(new))))
+        made = self._close(new)
         if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
         self.known.update((p, c) for p, c in made.items() if len(p) <= CACHE_BYTES)
         return [made[p] if f is False else f for p, f in zip(parts, found)]
 
-    def _close(self, a: list[int], ends_a: list[int], b: list[int], ends_b: list[int]) -> Closed:
-        groups, links = self._groups(a, ends_a, b, ends_b, sorted(set(ends_a) & set(ends_b)))
-        return Closed(";".join(f"{x}|{y}" for x, y in groups), len(a), len(b), len(links), np.array(links, self.kind).tobytes())
+    def _close(self, parts: Sequence[bytes]) -> dict[bytes, Closed | None]:
+        """New parts, tokenized as one text if that text is cut into just these parts; else each by itself."""
+        made: dict[bytes, Closed | None] = dict.fromkeys(parts)
+        plain = [p for p in parts if _MARK not in p]  # which the second tokenizer takes for a space
+        joined = b"".join(plain)
+        found = self._aligned(plain, joined) if len(plain) > 1 and parts_of(joined) == plain else None
+        for at, part in enumerate(plain):
+            made[part] = found[at] if found else (self._aligned([part], part) or [None])[0]
+        return made
+
+    def _aligned(self, parts: Sequence[bytes], raw: bytes) -> list[Closed] | None:
+        """The parts of one text; None where the tokens do not give its bytes back or go on across the end of a part."""
+        text = raw.decode("utf-8", "surrogatepass")
+        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        if not b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b)):
+            return None
+        ids = np.array(a, np.int64), np.array(b, np.int64)
+        ends = np.cumsum(self.lengths_a[ids[0]]), np.cumsum(self.lengths_b[ids[1]])
+        common, part_ends = np.intersect1d(*ends, assume_unique=True), np.cumsum([len(p) for p in parts])
+        last_groups = np.searchsorted(common, part_ends)
+        if not np.array_equal(common[np.minimum(last_groups, len(common) - 1)], part_ends):
+            return None
+        # All tokens by group, first tokenizer first; what follows each; and which part it is in.
+        group = np.concatenate([2 * np.searchsorted(common, ends[0]), 2 * np.searchsorted(common, ends[1]) + 1])
+        order = np.argsort(group, kind="stable")
+        group = group[order]
+        closes = np.zeros(len(common), np.int64)
+        closes[last_groups] = 1
+        follows = np.where(np.append(group[1:] == group[:-1], False), 0, np.where(group % 2 == 0, 1, 2 + closes[group // 2]))
+        names = list(map(str, a)) + list(map(str, b))
+        written = [names[n] + _BETWEEN[f] for n, f in zip(order.tolist(), follows.tolist())]
+        cuts = [np.searchsorted(e, part_ends, "right") for e in (*ends, common)]
+        pairs = ids[0][np.searchsorted(ends[0], common)] * self.size_b + ids[1][np.searchsorted(ends[1], common)]
+        links, width = pairs.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        out, before = [], (0, 0, 0)
+        for now in zip(*(c.tolist() for c in cuts)):
+            groups = "".join(written[before[0] + before[1] : now[0] + now[1]])
+            counts = [y - x for x, y in zip(before, now)]
+            out.append(Closed(groups, *counts, links[width * before[2] : width * now[2]]))
+            before = now
+        return out
 
     def _groups(self, a, ends_a, b, ends_b, common) -> tuple[list[tuple[str, str]], list[int]]:
         """The tokens up to each common end, and the pair that ends there."""
@@ -220,7 +265,7 @@ def _run(parts: Sequence[Closed]) -> Closed:
 
 
 def _ends(raw: Sequence[bytes]) -> list[int]:
-    return np.cumsum([len(r) for r in raw]).tolist()
+    return list(accumulate(map(len, raw)))
 
 
 def _byte_alphabet() -> dict[str, int]:
