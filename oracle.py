@@ -619,5 +619,44 @@ def _report() -> str:
 ORACLES["dq_report"] = _report()
 
 
+# Whatever the batches were, the tables are those of a full rebuild.
+for _name in ("fct_orders", "dim_customers", "cohort_retention"):
+    ORACLES[f"incremental_{_name}"] = ORACLES[_name]
+
+_PROFILES = """
+    with points as (
+        select customer_email, order_created_at_utc as since, channel, is_subscription_order, financial_status,
+            md5(concat_ws(chr(31), coalesce(channel, chr(30)), cast(is_subscription_order as varchar), financial_status)) as digest
+        from enriched where customer_email is not null and order_created_at_utc is not null
+        qualify row_number() over (partition by customer_email, order_created_at_utc order by digest desc) = 1
+    ), changed as (
+        select * from points qualify digest is distinct from lag(digest) over (partition by customer_email order by since)
+    )
+    select customer_email, channel, is_subscription_order, financial_status, since as valid_from,
+        lead(since) over (partition by customer_email order by since) as valid_to
+    from changed"""
+ORACLES["customer_history"] = ORACLES["customer_history_late"] = _PROFILES
+ORACLES["charges_as_of"] = f"""
+    select charge_id, c.customer_email, charge_created_at_utc, charge_status, {_M('total_c')} as charge_total,
+        channel, is_subscription_order, financial_status
+    from f_charges c left join ({_PROFILES}) p on p.customer_email = c.customer_email
+        and p.valid_from <= charge_created_at_utc and (p.valid_to is null or p.valid_to > charge_created_at_utc)"""
+_AT_RISK = """
+    select charge_id, subscription_id, charge_created_at_utc, total_c, (
+            select max({'at': w.charge_created_at_utc, 'digest': md5(concat_ws(chr(31), cast(w.charge_created_at_utc as varchar),
+                cast(w.total_c / 100.0 as decimal(38, 2))::varchar)), 'price': w.total_c})
+            from f_charges w where w.subscription_id = f.subscription_id and w.is_successful_charge
+                and w.charge_created_at_utc < f.charge_created_at_utc) as last
+    from f_charges f where is_failed_charge"""
+ORACLES["failed_charge_price"] = f"""
+    select charge_id, subscription_id, charge_created_at_utc, {_M('total_c')} as charge_total, last['at'] as paid_at,
+        {_M("last['price']")} as last_price
+    from ({_AT_RISK})"""
+ORACLES["revenue_at_risk"] = f"""
+    select cast(date_trunc('month', charge_created_at_utc) as date) as charge_month, count(*) as failed_charges,
+        count(last['price']) as with_earlier_price, {_M("sum(last['price'])")} as revenue_at_risk
+    from ({_AT_RISK}) group by all"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(query) for name, query in ORACLES.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from subledger.functions import cents_to_dollars, days_between, month_of, months_between, safe_divide, zone_to_utc
 from subledger.operators import day_spine, month_spine, number_rows
-from subledger.plans import core, dashboards, intermediate, quality, reporting
+from subledger.plans import core, dashboards, history, intermediate, quality, reporting
 from subledger.plans.incremental import BucketStore, IncrementalMarts
 from subledger.plans.project import Project
 from subledger.plans.warehouse import ParquetSink, load_raw
@@ -101,6 +101,16 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     "incremental_fct_orders": lambda p: in_batches(p).fct_orders,
     "incremental_dim_customers": lambda p: in_batches(p).dim_customers,
     "incremental_cohort_retention": lambda p: in_batches(p).cohort_retention,
+    # Versions and joins as of a time
+    "customer_history": lambda p: history.customer_profiles(p.valid_orders, p.settings),
+    "customer_history_late": lambda p: history.customer_profiles_with_late_orders(
+        p.valid_orders.filter("order_id % 5 <> 0"), p.valid_orders.filter("order_id % 5 = 0"), p.settings
+    ),
+    "charges_as_of": lambda p: history.charges_with_profile(
+        p.fct_charges, history.customer_profiles(p.valid_orders, p.settings), p.settings
+    ),
+    "failed_charge_price": lambda p: history.failed_charges_with_price(p.fct_charges, p.settings),
+    "revenue_at_risk": lambda p: history.monthly_price_at_risk(p.fct_charges, p.settings),
     # Dashboard tables
     "churn_mrr_bridge": lambda p: dashboards.mrr_bridge(p.stg_recharge__subscriptions, p.settings),
     "active_mom_change": lambda p: dashboards.active_change(p.rpt_subscription_health),

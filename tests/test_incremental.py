@@ -1,0 +1,120 @@
+"""Marts kept up to date from batches against full rebuilds."""
+
+from __future__ import annotations
+
+import random
+from dataclasses import replace
+
+import pytest
+
+from raw import raw, source
+from subledger import Project
+from subledger.plans.incremental import BucketStore, IncrementalMarts
+
+NAMES = {name: table for name, (_, table, _) in IncrementalMarts.RAW.items()}
+
+
+def order(id, customer, day, delivery=0, status="paid", total=10.0):
+    return {
+        "id": id, "customer_id": customer, "created_at": day and f"{day}T12:00:0{delivery}-05:00", "financial_status": status,
+        "total_price": total, "total_discounts": 1.0, "landing_site": f"/?utm_source=s{id % 3}",
+    }
+
+
+def item(id, order_id, title="a"):
+    return {"id": id, "order_id": order_id, "title": title, "sku": title, "quantity": 1, "price": 2.0, "total_discount": 0.0}
+
+
+def customer(id, email, day="2024-01-01"):
+    return {"id": id, "email": email, "created_at": f"{day}T00:00:00-05:00", "first_name": "x"}
+
+
+def subscription(id, customer_id, status="active"):
+    return {"id": id, "shopify_customer_id": customer_id, "status": status, "price": 5.0, "created_at": "2024-01-01T00:00:00Z", "charge_interval_frequency": 30}
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=str)
+
+
+def equal_to_rebuild(spark, marts, settings, seen):
+    p = Project(source(spark, **{NAMES[name]: rows for name, rows in seen.items()}), settings)
+    assert rows_of(marts.fct_orders) == rows_of(p.fct_orders)
+    assert rows_of(marts.dim_customers) == rows_of(p.dim_customers)
+    assert [tuple(r) for r in marts.cohort_retention.collect()] == [tuple(r) for r in p.rpt_monthly_cohort_retention.collect()]
+
+
+def apply(spark, marts, label, seen, **rows):
+    marts.apply(label, **{name: raw(spark, NAMES[name], *new) for name, new in rows.items()})
+    for name, new in rows.items():
+        seen.setdefault(name, []).extend(new)
+
+
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 8])
+def test_three_batches_equal_a_rebuild(spark, settings, tmp_path, rows_per_task):
+    """Late and repeated orders, orders that move to another customer, items and customers that come later, a customer with
+    a third of all orders, orders without a customer or a time."""
+    rng = random.Random(1)
+    settings = replace(settings, rows_per_task=rows_per_task)
+    marts, seen = IncrementalMarts(BucketStore(spark, str(tmp_path), 8), settings), {}
+    days = [f"2024-{m:02d}-{d:02d}" for m in range(1, 10) for d in (3, 17)]
+    some = [order(n, 1 if n % 3 == 0 else rng.choice([2, 3, 4, 5, None]), rng.choice([*days, None]), 2, rng.choice(["paid", "voided"])) for n in range(40)]
+    apply(
+        spark, marts, "first", seen, orders=some[:25], items=[item(n, n % 30) for n in range(40)],
+        customers=[customer(n, f"c{n}@x") for n in (1, 2, 3)], subscriptions=[subscription(1, 1), subscription(2, 2, "cancelled")],
+        recharge=[{"id": 9, "email": "c1@x", "created_at": "2024-01-01T00:00:00Z", "status": "ACTIVE"}],
+    )
+    apply(
+        spark, marts, "second", seen, orders=some[20:33] + [order(0, 4, "2024-01-01", 0), order(3, 1, "2024-09-30", 5)],
+        items=[item(3, 3, "0 first"), item(50, 39)], customers=[customer(4, "c4@x"), customer(5, " C2@X ", "2024-05-05")],
+    )
+    equal_to_rebuild(spark, marts, settings, seen)
+    apply(
+        spark, marts, "third", seen, orders=some[33:], subscriptions=[subscription(3, 1)],
+        recharge=[{"id": 10, "email": "c4@x", "created_at": "2024-02-01T00:00:00Z", "status": "ACTIVE"}],
+    )
+    equal_to_rebuild(spark, marts, settings, seen)
+    # From the folder alone, as another job sees it; a batch that is applied again changes nothing.
+    again = IncrementalMarts(BucketStore(spark, str(tmp_path), 8).refresh(), settings)
+    assert again.store.version == 3
+    again.apply("third", orders=raw(spark, NAMES["orders"], order(99, 1, "2024-01-01")))
+    equal_to_rebuild(spark, again, settings, seen)
+
+
+def test_only_touched_buckets_are_read_and_written(spark, settings, tmp_path):
+    marts, seen = IncrementalMarts(BucketStore(spark, str(tmp_path), 32), settings), {}
+    apply(
+        spark, marts, "first", seen, orders=[order(n, n % 20, "2024-01-05") for n in range(100)],
+        customers=[customer(n, f"c{n}@x") for n in range(20)],
+    )
+    before = {name: dict(held) for name, held in marts.store.folders.items()}
+    opened = []
+    read = marts.store.read
+    marts.store.read = lambda name, schema, buckets=None: opened.append((name, buckets)) or read(name, schema, buckets)
+    apply(spark, marts, "second", seen, orders=[order(500, 7, "2024-03-05")])
+    for name, held in marts.store.folders.items():
+        changed = [n for n in held if held[n] != before.get(name, {}).get(n)]
+        assert len(changed) <= (32 if name == "cohorts" else 1), (name, changed)
+    assert {name for name, buckets in opened if buckets is None} == {"cohorts"}
+    assert all(len(buckets) <= 1 for _, buckets in opened if buckets is not None)
+    files = read("fct_orders", marts.schemas["fct_orders"], [0]).inputFiles()
+    assert all("/_bucket=0/" in f for f in files)
+
+
+def test_a_batch_that_fails_leaves_the_version_before(spark, settings, tmp_path, monkeypatch):
+    marts, seen = IncrementalMarts(BucketStore(spark, str(tmp_path), 4), settings), {}
+    apply(spark, marts, "first", seen, orders=[order(1, 1, "2024-01-05")], customers=[customer(1, "a@x")])
+    with monkeypatch.context() as broken:
+        broken.setattr(BucketStore, "commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            marts.apply("second", orders=raw(spark, NAMES["orders"], order(2, 1, "2024-02-05")))
+    again = IncrementalMarts(BucketStore(spark, str(tmp_path), 4).refresh(), settings)
+    equal_to_rebuild(spark, again, settings, seen)
+    apply(spark, again, "second", seen, orders=[order(2, 1, "2024-02-05")])
+    equal_to_rebuild(spark, again, settings, seen)
+
+
+def test_nothing_at_all(spark, settings, tmp_path):
+    marts = IncrementalMarts(BucketStore(spark, str(tmp_path), 4), settings)
+    marts.apply("empty")
+    assert marts.fct_orders.collect() == marts.dim_customers.collect() == marts.cohort_retention.collect() == []
