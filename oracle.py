@@ -658,5 +658,54 @@ ORACLES["revenue_at_risk"] = f"""
     from ({_AT_RISK}) group by all"""
 
 
+# Greedy: all possible pairs in order, each taken if neither of its rows is.
+ORACLES["matched_payments"] = f"""
+    with recursive loose as (
+        select stripe_charge_id, customer_email, charge_created_at_utc as r_time, charge_c from s_payments
+        where shopify_order_id is null and customer_email is not null
+    ), open_orders as (
+        select order_id, o.customer_email, o.order_created_at_utc as l_time, o.gross_c
+        from s_orders o join reconciled r using (order_id) where reconciliation_status = 'no_stripe_match'
+    ), pairs as (
+        select order_id, stripe_charge_id, abs(gross_c - charge_c) as gap_c,
+            abs(epoch(l_time) - epoch(r_time))::bigint as seconds, l_time, gross_c, r_time, charge_c
+        from open_orders join loose using (customer_email) where gap_c <= 500 and seconds <= 45 * 86400
+    ), numbered as (
+        select order_id, stripe_charge_id, gap_c, seconds, row_number() over (
+            order by gap_c, seconds, l_time, gross_c, r_time, charge_c, order_id, stripe_charge_id) as n from pairs
+    ), walk as (
+        select 0::bigint as n, []::bigint[] as orders_used, []::varchar[] as charges_used
+        union all
+        select p.n, case when free then list_append(orders_used, order_id) else orders_used end,
+            case when free then list_append(charges_used, stripe_charge_id) else charges_used end
+        from (select q.*, w.orders_used, w.charges_used, not list_contains(w.orders_used, q.order_id)
+                and not list_contains(w.charges_used, q.stripe_charge_id) as free
+            from walk w join numbered q on q.n = w.n + 1) p
+    ), used as (
+        select unnest(orders_used) as order_id, unnest(charges_used) as stripe_charge_id
+        from (select * from walk order by n desc limit 1)
+    )
+    select order_id, stripe_charge_id, {_M('gap_c')} as amount_gap, seconds as seconds_gap
+    from numbered join used using (order_id, stripe_charge_id)"""
+ORACLES["customer_identity"] = """
+    with recursive ties as (
+        select 'shop:' || id as a, 'email:' || lower(trim(email)) as b from raw_shopify__customers
+        union all select 'subscription:' || recharge_customer_id, 'email:' || customer_email from s_subscribers
+        union all select 'subscription:' || recharge_customer_id, 'shop:' || shopify_customer_id from s_subscribers
+        union all select 'payment:' || stripe_charge_id, coalesce('email:' || customer_email, 'payment:' || stripe_charge_id) from s_payments
+    ), edges as (
+        select a, b from ties where b is not null union select b, a from ties where b is not null
+    ), reach as (
+        select distinct a as start, a as node from edges where a not like 'payment:%'
+        union
+        select start, b from reach join edges on a = node where b not like 'payment:%'
+    ), least as (
+        select start as node, min(node) as customer from reach group by start
+    )
+    select node as record, customer from least where node not like 'email:%'
+    union all
+    select distinct a, coalesce(customer, b) from ties left join least on node = b where a like 'payment:%'"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(query) for name, query in ORACLES.items()}

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subledger.functions import cents_to_dollars, days_between, month_of, months_between, safe_divide, zone_to_utc
+from subledger.functions import cents_to_dollars, clean_email, days_between, month_of, months_between, safe_divide, zone_to_utc
 from subledger.operators import day_spine, month_spine, number_rows
-from subledger.plans import core, dashboards, history, intermediate, quality, reporting
+from subledger.plans import core, dashboards, history, identity, intermediate, quality, reporting
 from subledger.plans.incremental import BucketStore, IncrementalMarts
 from subledger.plans.project import Project
 from subledger.plans.warehouse import ParquetSink, load_raw
@@ -111,6 +111,14 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     ),
     "failed_charge_price": lambda p: history.failed_charges_with_price(p.fct_charges, p.settings),
     "revenue_at_risk": lambda p: history.monthly_price_at_risk(p.fct_charges, p.settings),
+    # Across the systems
+    "matched_payments": lambda p: identity.matched_payments(
+        p.int_payments__reconciled, p.stg_shopify__orders.select("order_id", "customer_email"), p.stg_stripe__charges, p.settings
+    ),
+    "customer_identity": lambda p: identity.customer_identity(
+        p.source.read("shopify", "raw_shopify__customers").select("id", clean_email(F.col("email")).alias("email")),
+        p.stg_recharge__customers, p.stg_stripe__charges,
+    ),
     # Dashboard tables
     "churn_mrr_bridge": lambda p: dashboards.mrr_bridge(p.stg_recharge__subscriptions, p.settings),
     "active_mom_change": lambda p: dashboards.active_change(p.rpt_subscription_health),

@@ -42,5 +42,9 @@ class Settings:
     # A failed charge counts as recovered when the same subscription is charged within this many days.
     dunning_days: int = 30
 
+    # An order and a payment that names none may be this far apart to be taken for each other.
+    match_amount: Decimal = Decimal("5.00")
+    match_days: int = 45
+
     # Rows of one key a single task should take on; keys above it are split.
     rows_per_task: int = 2_000_000
