@@ -707,5 +707,35 @@ ORACLES["customer_identity"] = """
     select distinct a, coalesce(customer, b) from ties left join least on node = b where a like 'payment:%'"""
 
 
+def _sketched(by: str) -> str:
+    """The exact figures; estimates keep their bounds."""
+    return f"""
+        select {by}, count(*) as lines, count(distinct shopify_customer_id) as customers, true as customers_within_bound, true as median_within_bound
+        from enriched join s_items using (order_id) group by {by}"""
+
+
+ORACLES["sketch_rollup"] = _sketched("channel")
+ORACLES["sketch_rollup_by_month"] = _sketched("channel, order_month")
+ORACLES["sketch_retention"] = """
+    select acquisition_cohort_month as cohort_month, date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
+        count(distinct customer_id) as customers_active, true as within_bound
+    from f_orders where acquisition_cohort_month is not null and order_month is not null group by 1, 2"""
+ORACLES["order_differences"] = f"""
+    with orders_now as (
+        select order_id, shopify_customer_id, order_month, financial_status, order_month is not null and year(order_month) = 1997 as in_year from enriched
+    )
+    select order_id, 'removed' as change, null::varchar as "column", null::varchar as before, null::varchar as after, 1::bigint as copies
+    from orders_now where in_year and order_id % 40 = 9
+    union all
+    select order_id, 'added', null, null, null, 1 from orders_now
+    where in_year and order_id % 60 = 2 and order_id % 40 <> 9 and not (order_id % 50 = 4 and financial_status <> 'refunded')
+    union all
+    select order_id, 'changed', 'financial_status', financial_status, 'refunded', 1 from orders_now
+    where in_year and order_id % 50 = 4 and financial_status <> 'refunded' and order_id % 40 <> 9 and order_id % 60 <> 2
+    union all
+    select order_id, unnest(['removed', 'added']), null, null, null, unnest([1, 2]) from orders_now
+    where in_year and order_id % 50 = 4 and financial_status <> 'refunded' and order_id % 40 <> 9 and order_id % 60 = 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(query) for name, query in ORACLES.items()}

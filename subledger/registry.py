@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.functions import cents_to_dollars, clean_email, days_between, month_of, months_between, safe_divide, zone_to_utc
+from subledger.operators.difference import digest_tree, row_changes
 from subledger.operators import day_spine, month_spine, number_rows
-from subledger.plans import core, dashboards, history, identity, intermediate, quality, reporting
+from subledger.plans import core, dashboards, history, identity, intermediate, quality, reporting, sketches
 from subledger.plans.incremental import BucketStore, IncrementalMarts
 from subledger.plans.project import Project
 from subledger.plans.warehouse import ParquetSink, load_raw
-from subledger.session import run_folder
+from subledger.session import materialized, run_folder
 from subledger.settings import Settings
 from subledger.sources import RAW_TABLES, CsvSource, ParquetSource, RetailSource
 
@@ -119,6 +120,13 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
         p.source.read("shopify", "raw_shopify__customers").select("id", clean_email(F.col("email")).alias("email")),
         p.stg_recharge__customers, p.stg_stripe__charges,
     ),
+    # Sketches and differences
+    "sketch_rollup": lambda p: sketches.checked_rollup(sketches.order_lines(p.valid_orders, p.stg_shopify__order_line_items), ["channel"]),
+    "sketch_rollup_by_month": lambda p: sketches.checked_rollup(
+        sketches.order_lines(p.valid_orders, p.stg_shopify__order_line_items), ["channel", "order_month"]
+    ),
+    "sketch_retention": lambda p: sketches.checked_retention(reporting.customer_months(p.valid_orders, p.stg_shopify__customers)),
+    "order_differences": lambda p: order_differences(p),
     # Dashboard tables
     "churn_mrr_bridge": lambda p: dashboards.mrr_bridge(p.stg_recharge__subscriptions, p.settings),
     "active_mom_change": lambda p: dashboards.active_change(p.rpt_subscription_health),
@@ -204,6 +212,25 @@ def in_batches(p: Project) -> IncrementalMarts:
     return marts
 
 
+def order_differences(p: Project) -> DataFrame:
+    """Two builds of the orders, written by month with their digest trees: the later one lacks some orders of a year, has one
+    twice, and another state for others. Only months that differ are read again.
+    """
+    orders = p.valid_orders.select(
+        "order_id", "shopify_customer_id", month_of(F.col("order_created_at_utc")).alias("order_month"), "gross_revenue", "financial_status", "channel"
+    )
+    year = F.year("order_month") == 1997
+    state = F.when(year & (F.col("order_id") % 50 == 4), "refunded").otherwise(F.col("financial_status"))
+    later = orders.filter(F.coalesce(~(year & (F.col("order_id") % 40 == 9)), F.lit(True))).withColumn("financial_status", state)
+    later = later.unionByName(later.filter(year & (F.col("order_id") % 60 == 2)))
+    builds, trees, root = [], [], run_folder(p.spark)
+    for name, df in (("before", orders), ("after", later)):
+        df.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(f"{root}/{name}")
+        builds.append(p.spark.read.schema(df.schema).parquet(f"{root}/{name}").select(*df.columns))
+        trees.append(materialized(digest_tree(builds[-1], ["order_id"], "order_month")))
+    return row_changes(*builds, tuple(trees), ["order_id"], "order_month")
+
+
 def order_days(p: Project) -> DataFrame:
     """First day of the order history and the day after its last: the bounds of a calendar over it."""
     day = F.to_date("order_created_at_utc")
