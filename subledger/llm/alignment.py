@@ -17,6 +17,7 @@ broadcast; links of other pairs, none of which is frequent, are looked up by a j
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from bisect import bisect_left, bisect_right
@@ -40,8 +41,15 @@ RANGE = 65_536
 FAN = 16
 #: Pairs of ids that are broadcast with their counts: 17 bytes each.
 FREQUENT = 1_000_000
-#: Words a worker remembers, and the longest ones it does, in bytes.
-CACHE_WORDS, CACHE_BYTES = 300_000, 64
+#: Words a worker remembers, twice (a new table begins when one is full, and the one before is kept to look in), and the
+#: longest ones it does, in bytes.
+CACHE_WORDS, CACHE_BYTES = 150_000, 64
+#: Documents whose links a task holds as numbers at a time.
+SCORED_ROWS = 256
+#: Beyond these characters the two implementations of the first tokenizer may have other character tables. Finds one beyond.
+_DISPUTED = re.compile("[^\x00-\x1b\x20-\u052f\u2000-\u206f]")
+#: How byte-level tokenizers split a text. A fixed value.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: White space beyond ASCII in UTF-8, as any version of the character tables has it, and all else from U+2000 on.
 _WIDE = [rb"\xc2[\x85\xa0]", rb"\xe1\x9a\x80", rb"\xe1\xa0\x8e", rb"\xe2\x80.", rb"\xe2\x81\x9f", rb"\xe3\x80\x80"]
@@ -119,6 +127,7 @@ class Pair:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.quick = _by_ranks(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.size_a, self.size_b = self.a.get_vocab_size(), self.b.get_piece_size()
         self.kind = "<u4" if self.size_a * self.size_b < 2**32 else "<u8"
@@ -132,6 +141,7 @@ class Pair:
         ]
         self.lengths_a, self.lengths_b = (np.array([len(r) for r in raw]) for raw in (self.bytes_a, self.bytes_b))
         self.known: dict[bytes, Closed | None] = {}
+        self.older: dict[bytes, Closed | None] = {}
 
     def tokens(self, parts: Sequence[bytes]) -> list[tuple[list[int], list[int], list[int], list[int]] | None]:
         """Ids and ends of either tokenizer for each part, which starts with the space that is added or was there; None
@@ -146,13 +156,15 @@ class Pair:
         return out
 
     def closed(self, parts: Sequence[bytes]) -> list[Closed | None]:
-        found = list(map(self.known.get, parts, [False] * len(parts)))
+        known, older = self.known, self.older
+        found = [known.get(p, False) for p in parts]
         if False not in found:
             return found
-        new = list(dict.fromkeys(p for p, f in zip(parts, found) if f is False))
-        made = self._close(new)
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
+        new = dict.fromkeys(p for p, f in zip(parts, found) if f is False)
+        made = {p: older[p] for p in new if p in older}
+        made |= self._close([p for p in new if p not in made])
+        if len(known) + len(made) > CACHE_WORDS:
+            self.older, self.known = known, {}
         self.known.update((p, c) for p, c in made.items() if len(p) <= CACHE_BYTES)
         return [made[p] if f is False else f for p, f in zip(parts, found)]
 
@@ -169,7 +181,11 @@ class Pair:
     def _aligned(self, parts: Sequence[bytes], raw: bytes) -> list[Closed] | None:
         """The parts of one text; None where the tokens do not give its bytes back or go on across the end of a part."""
         text = raw.decode("utf-8", "surrogatepass")
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
+        if self.quick and not _DISPUTED.search(text):
+            a = self.quick.encode_ordinary(text)
+        else:
+            a = self.a.encode(text, add_special_tokens=False).ids
+        b = self.b.encode(text[1:])
         if not b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b)):
             return None
         ids = np.array(a, np.int64), np.array(b, np.int64)
@@ -268,6 +284,22 @@ def _ends(raw: Sequence[bytes]) -> list[int]:
     return list(accumulate(map(len, raw)))
 
 
+def _by_ranks(path: str):
+    """The same tokenizer in the library that merges by rank, several times faster; None if its merges are not in the order
+    of the ids they make, or it splits texts in another way."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocabulary, merges, split = spec["model"]["vocab"], spec["model"]["merges"], spec["pre_tokenizer"] or {}
+    made = [vocabulary["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+    plain = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    if not plain or made != sorted(made) or any(n >= made[0] for t, n in vocabulary.items() if len(t) == 1):
+        return None
+    alphabet = _byte_alphabet()
+    return tiktoken.Encoding("ranks", pat_str=_SPLIT, mergeable_ranks={_decoded(t, alphabet): n for t, n in vocabulary.items()}, special_tokens={})
+
+
 def _byte_alphabet() -> dict[str, int]:
     """The characters by which byte-level tokenizers write bytes: printable ones as they are, the others from U+0100 on."""
     plain = [n for n in range(256) if 33 <= n <= 126 or 161 <= n <= 172 or n >= 174]
@@ -412,7 +444,7 @@ def _counts(encoded: DataFrame, kind: str, size_b: int) -> DataFrame:
     """Linked pairs: pair, n (links of it), best (whether no other first id has more links with its second), written once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             found, many = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(many.astype(np.int64))], names=["pair", "n"])
 
@@ -423,6 +455,12 @@ def _counts(encoded: DataFrame, kind: str, size_b: int) -> DataFrame:
     return materialized(joined)
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SCORED_ROWS):
+            yield batch.slice(at, SCORED_ROWS)
+
+
 def _scored(encoded: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
     """``encoded`` with n_best and count_sum."""
     # At most FREQUENT pairs reach the driver and the tasks.
@@ -433,7 +471,7 @@ def _scored(encoded: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, many, best = sent.value
-        for batch in batches:
+        for batch in _sliced(batches):
             links = [np.frombuffer(raw, kind).astype(np.int64) for raw in batch.column(1).to_pylist()]
             flat = np.concatenate([*links, np.empty(0, np.int64)])
             row = np.repeat(np.arange(len(links)), [len(k) for k in links])
@@ -468,7 +506,7 @@ def _with_scores(encoded: DataFrame, score, other: list[str]) -> DataFrame:
     schema = T.StructType([*(encoded.schema[c] for c in other), T.StructField("n_best", T.LongType()), T.StructField("count_sum", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _sliced(batches):
             own = batch.select(["_row", "links"])
             for made in score(iter([own])):
                 columns = [batch.column(c) for c in other] + [made.column("n_best"), made.column("count_sum")]
