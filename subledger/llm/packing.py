@@ -9,6 +9,7 @@ gives to its rank among the pieces of its length.
 from __future__ import annotations
 
 import bisect
+import zlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.llm.common import per_batch, with_row_id
-from subledger.llm.pretokens import Encoder
+from subledger.llm.pretokens import worker_encoder
 
 #: Pieces per rank bucket: one task ranks the pieces of one length in one bucket.
 BUCKET_ROWS = 100_000
@@ -76,30 +77,35 @@ def plan_best_fit(counts: Mapping[int, int], capacity: int) -> dict[int, list[Ru
     return plan
 
 
-def cut(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The pieces of every document: key, piece (from 0), start, length, and ids as little-endian 32-bit integers.
+def cut(
+    df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text", ids: bool = True
+) -> DataFrame:
+    """The pieces of every document: key, piece (from 0), start, length, ids_crc32, and with ``ids`` the ids themselves, as
+    little-endian 32-bit integers.
 
     A document's ids are those of its text and ``end_id``; only documents longer than ``capacity`` are cut. A null or
-    empty text gives the end alone. Other columns of the input are not looked at.
+    empty text gives the end alone, a very long one all its pieces, a repeated row its pieces again. Other columns of the
+    input are not looked at.
     """
     kind = df.schema[key].dataType.simpleString()
 
     def make():
-        encoder, end = Encoder(path), np.array([end_id], "<u4").tobytes()
+        encoder, end = worker_encoder(path), np.array([end_id], "<u4").tobytes()
 
         def run(batch):
-            out = {k: [] for k in ("id", "piece", "start", "length", "ids")}
+            out = {k: [] for k in names}
             for doc, body in zip(batch["id"], batch["t"]):
-                ids = encoder.encode(body) + end
-                for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    for name, value in zip(out, (doc, piece, start, len(part) // 4, part)):
+                found = encoder.encode(body) + end
+                for piece, start in enumerate(range(0, len(found) // 4, capacity)):
+                    part = found[4 * start : 4 * (start + capacity)]
+                    for name, value in zip(names, (doc, piece, start, len(part) // 4, zlib.crc32(part), part)):
                         out[name].append(value)
             return out
 
         return run
 
-    schema = f"id {kind}, piece int, start bigint, length bigint, ids binary"
+    schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids binary" if ids else "")
+    names = T.StructType.fromDDL(schema).names
     return per_batch(df, [df[key].alias("id"), df[text].alias("t")], make, schema).withColumnRenamed("id", key)
 
 

@@ -11,6 +11,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import regex
@@ -32,7 +33,8 @@ def _plain_pattern() -> re.Pattern:
 
 
 _PLAIN = _plain_pattern()
-#: Entries a worker remembers; beyond them the cache starts anew. Bounds memory, changes no result.
+#: Entries a worker remembers, twice: beyond them a new table begins, and the one before is kept to look in. Bounds memory,
+#: changes no result.
 CACHE_ENTRIES = 400_000
 
 
@@ -50,6 +52,9 @@ class Pieces:
             raise ValueError(f"{path}: not a tokenizer of single pieces")
         self.tokenizer = Tokenizer.from_file(path)
         self.special = {a["content"]: a["id"] for a in plain}
+        suffix, vocabulary = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
+        self.ends_word = np.zeros(max([*vocabulary.values(), *self.special.values()]) + 1, bool)
+        self.ends_word[[n for t, n in vocabulary.items() if suffix and t.endswith(suffix)]] = True
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if plain else None
         self.split = regex.compile(PATTERN.replace(r"[^\s", f"[^{_SPACE}"))
@@ -86,6 +91,7 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.pieces = Pieces(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         out = []
@@ -101,22 +107,34 @@ class Encoder:
         found = list(map(self.known.get, pieces))
         if None not in found:
             return found
-        new = list(dict.fromkeys(p for p, f in zip(pieces, found) if f is None))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        new = list(dict.fromkeys([pieces[at] for at in missing]))
         if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known.clear()
-            new = list(dict.fromkeys(pieces))
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        if older:
+            known.update((p, older[p]) for p in new if p in older)
+            new = [p for p in new if p not in known]
         plain = [p for p in new if p[0] != " "]
-        # A piece between spaces is split from its neighbours and from nothing else: one word number per piece.
+        # A piece between spaces is split from its neighbours and from nothing else, and its last token ends a word.
         encoded = self.pieces.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-        numbers, ids = np.array(encoded.word_ids, np.int64), np.array(encoded.ids, "<u4").tobytes()
-        starts = np.flatnonzero(np.diff(numbers, prepend=-1)).tolist()
-        if len(starts) == len(plain):
-            for piece, start, end in zip(plain, starts, [*starts[1:], len(numbers)]):
-                self.known[piece] = ids[4 * start : 4 * end]
+        numbers = np.array(encoded.ids, "<u4")
+        ends = (4 * np.flatnonzero(self.pieces.ends_word[numbers]) + 4).tolist()
+        if len(ends) == len(plain):
+            ids = numbers.tobytes()
+            known.update(zip(plain, [ids[start:end] for start, end in zip([0, *ends], ends)]))
         for piece in new:
-            if piece not in self.known:
-                self.known[piece] = np.array(self.pieces.ids(piece), "<u4").tobytes()
-        return list(map(self.known.__getitem__, pieces))
+            if piece not in known:
+                known[piece] = np.array(self.pieces.ids(piece), "<u4").tobytes()
+        for at in missing:
+            found[at] = known[pieces[at]]
+        return found
+
+
+@cache
+def worker_encoder(path: str) -> Encoder:
+    """One encoder per worker and file: the tasks that a worker runs one after another share what it remembers."""
+    return Encoder(path)
 
 
 class Counter:

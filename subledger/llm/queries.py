@@ -55,8 +55,7 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces and their places, with a digest for the ids."""
-    pieces = packing.cut(docs, public_tokenizers.path(TOKENIZER))
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packing.pack(packing.cut(docs, public_tokenizers.path(TOKENIZER), ids=False))
 
 
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:

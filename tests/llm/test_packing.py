@@ -82,7 +82,10 @@ def test_whole_table(spark):
 
 def test_pieces_hold_their_ids(spark):
     df = spark.createDataFrame([(1, "one two three four five six seven")], "doc_id bigint, text string")
-    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in cut(df, PATH, capacity=3).orderBy("piece").collect()])
+    pieces = cut(df, PATH, capacity=3).orderBy("piece").collect()
+    assert all(r.ids_crc32 == zlib.crc32(r.ids) for r in pieces)
+    assert [tuple(r) for r in cut(df, PATH, capacity=3, ids=False).orderBy("piece").collect()] == [tuple(r)[:-1] for r in pieces]
+    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in pieces])
     assert ids.tolist() == [*Tokenizer.from_file(PATH).encode("one two three four five six seven", add_special_tokens=False).ids, 1]
 
 

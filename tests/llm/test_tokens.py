@@ -65,3 +65,16 @@ def test_the_broadcast_table_changes_no_count(spark):
     assert frequent
     counter = Counter(PATH, frequent)
     assert [counter.count(t) for t in HARD] == [len(expected(t)) for t in HARD]
+
+
+def test_what_a_worker_remembers_is_bounded_and_changes_nothing(monkeypatch):
+    import random
+
+    import numpy as np
+
+    monkeypatch.setattr("subledger.llm.pretokens.CACHE_ENTRIES", 20)
+    encoder, rng = Encoder(PATH), random.Random(1)
+    for _ in range(300):
+        text = " ".join(rng.choices([f"word{n}x{n}" for n in range(40)] + HARD, k=rng.randint(0, 12)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected(text), text
+        assert len(encoder.known) <= 20 + 100 and len(encoder.older) <= 20 + 100
