@@ -81,9 +81,9 @@ class BucketStore:
             held = self.folders.setdefault(name, {})
             for n in buckets:
                 held.pop(n, None)
-            # The partition column alone: as many values as there are buckets.
-            there = self.spark.read.schema("_bucket int").parquet(folder).select("_bucket").distinct().collect()
-            held.update({r[0]: folder for r in there})
+            # Named by the listing; no file is opened.
+            files = self.spark.read.schema("_bucket int").parquet(folder).inputFiles()
+            held.update({int(f.split("/_bucket=")[1].split("/")[0]): folder for f in files})
         self.version += 1
         self.batches.add(batch)
         rows = [(self.version, batch, "", -1, "")]
@@ -164,22 +164,25 @@ class IncrementalMarts:
         rows = {name: df.select(*self.raw_schema(name).names) for name, df in rows.items()}
 
         def replace(name: str, schema: T.StructType, buckets: Sequence[int], df: DataFrame, key: str) -> DataFrame:
-            """``df`` in place of these buckets; the written rows."""
+            """``df`` in place of these buckets; the written rows. Nothing is written if there are none to replace."""
+            if not buckets:
+                return nothing(self.spark, schema)
             folder = store.write(name, df, key)
             written[name] = folder, buckets
             return store.folder(folder, schema)
 
         orders = materialized(rows["orders"].select("id").union(rows["items"].select("order_id")).distinct())
         emails = materialized(_emails(rows["customers"]).union(_emails(rows["recharge"])).distinct())
+        # An order and its items, and either side of the customers' join, whichever of them changed.
+        by_order, by_email = store.touched(orders), store.touched(emails)
+        by_customer = store.touched(rows["subscriptions"].select("shopify_customer_id")) if "subscriptions" in changed else []
+        touched_raw = {"orders": by_order, "items": by_order, "customers": by_email, "recharge": by_email, "subscriptions": by_customer}
         merged, old = {}, {}
         for name, (_, _, key) in self.RAW.items():
             schema = _keyed_schema(self.raw_schema(name), key)
+            old[name] = store.read(name, schema, touched_raw[name])
             more = _keyed(rows[name], key)
-            # An order and its items, and either side of the customers' join, whichever of them changed.
-            changed_keys = {"orders": orders, "items": orders, "customers": emails, "recharge": emails}.get(name)
-            touched = store.touched(more.select(key) if changed_keys is None else changed_keys)
-            old[name] = store.read(name, schema, touched)
-            merged[name] = replace(name, schema, touched, _survivors(name, old[name].unionByName(more)), key)
+            merged[name] = replace(name, schema, touched_raw[name], _survivors(name, old[name].unionByName(more)), key)
 
         placed = materialized(self._placed_orders(among(merged["orders"], "id", orders), among(merged["items"], "order_id", orders)))
         unified = materialized(self._unified(
@@ -200,9 +203,9 @@ class IncrementalMarts:
         all_unified = replace(
             "unified", self.schemas["unified"], touched, among(read("unified"), "customer_email", emails, "left_anti").unionByName(unified), "shopify_customer_id"
         )
-        known = written["subscriptions"][0]
-        subscriptions = store.read("subscriptions", self.raw_schema("subscriptions"), [n for n in touched if n not in written["subscriptions"][1]])
-        subscriptions = subscriptions.unionByName(store.folder(known, self.raw_schema("subscriptions")))
+        changed_buckets = written.get("subscriptions", ("", []))[1]
+        subscriptions = store.read("subscriptions", self.raw_schema("subscriptions"), [n for n in touched if n not in changed_buckets])
+        subscriptions = subscriptions.unionByName(merged["subscriptions"])
         marts = self._marts(
             among(all_placed, "shopify_customer_id", customers), among(all_unified, "shopify_customer_id", customers),
             among(staging.subscriptions(subscriptions, self.settings), "shopify_customer_id", customers),
