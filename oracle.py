@@ -622,6 +622,7 @@ ORACLES["dq_report"] = _report()
 # Whatever the batches were, the tables are those of a full rebuild.
 for _name in ("fct_orders", "dim_customers", "cohort_retention"):
     ORACLES[f"incremental_{_name}"] = ORACLES[_name]
+ORACLES["rebuilt_fct_orders"] = ORACLES["fct_orders"]
 
 _PROFILES = """
     with points as (

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from subledger.plans.project import CORE, INTERMEDIATE, REPORTING, STAGING, Project
 from subledger.sources import RAW_TABLES, Source
@@ -30,7 +32,7 @@ class ParquetSink:
     """``<root>/<layer>/<name>``; ``root`` has to be a folder every executor can write to.
 
     Plain folders cannot be switched in one step: a run replaces tables in place, so readers that must not see a rebuild
-    in progress take a new ``root`` per run, or a ``CatalogSink`` with a format that commits.
+    in progress take a ``VersionedSink``, or a ``CatalogSink`` with a format that commits.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -43,6 +45,30 @@ class ParquetSink:
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+class VersionedSink(ParquetSink):
+    """``<root>/versions/<run>/<layer>/<name>``: each run in a folder of its own, which readers find once it is published.
+
+    Publishing writes one small file, which is moved to its place when complete: readers see the run before or this one as a
+    whole. A run that fails is never published.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__(spark, f"{root}/versions/{uuid.uuid4().hex}")
+        self.base = root
+
+    def publish(self, number: int) -> None:
+        """Make this run the one of the highest number. A number is given once."""
+        self.spark.createDataFrame([(number, self.root)], "number long, folder string").coalesce(1).write.parquet(
+            f"{self.base}/published/{number:09d}"
+        )
+
+
+def published(spark: SparkSession, root: str) -> str:
+    """The folder of the run that was published with the highest number."""
+    runs = spark.read.schema("number long, folder string").parquet(f"{root}/published/*")
+    return runs.orderBy(F.col("number").desc()).first()["folder"]
+
+
 class CatalogSink:
     """``<layer>.<name>`` in the session catalog."""
 

@@ -15,7 +15,7 @@ from subledger.operators import day_spine, month_spine, number_rows
 from subledger.plans import core, dashboards, history, identity, intermediate, quality, reporting, sketches
 from subledger.plans.incremental import BucketStore, IncrementalMarts
 from subledger.plans.project import Project
-from subledger.plans.warehouse import ParquetSink, load_raw
+from subledger.plans.warehouse import ParquetSink, VersionedSink, build, load_raw, published
 from subledger.session import materialized, run_folder
 from subledger.settings import Settings
 from subledger.sources import RAW_TABLES, CsvSource, ParquetSource, RetailSource
@@ -98,6 +98,7 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
     ),
     # Readers
     "csv_to_view": lambda p: csv_to_view(p),
+    "rebuilt_fct_orders": lambda p: rebuilt(p, "fct_orders"),
     # Tables kept up to date from batches
     "incremental_fct_orders": lambda p: in_batches(p).fct_orders,
     "incremental_dim_customers": lambda p: in_batches(p).dim_customers,
@@ -231,6 +232,15 @@ def order_differences(p: Project) -> DataFrame:
     return row_changes(*builds, tuple(trees), ["order_id"], "order_month")
 
 
+def rebuilt(p: Project, table: str) -> DataFrame:
+    """A core table of the version that readers find after a full rebuild of all tables."""
+    root = run_folder(p.spark)
+    sink = VersionedSink(p.spark, root)
+    schema = build(Project(p.source, p.settings), sink).table(table).schema
+    sink.publish(1)
+    return p.spark.read.schema(schema).parquet(f"{published(p.spark, root)}/marts/{table}").select(*schema.names)
+
+
 def order_days(p: Project) -> DataFrame:
     """First day of the order history and the day after its last: the bounds of a calendar over it."""
     day = F.to_date("order_created_at_utc")

@@ -87,7 +87,7 @@ def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in REGISTRY if n != "dq_report" and not n.startswith("incremental_")])
+@pytest.mark.parametrize("name", [n for n in REGISTRY if n != "dq_report" and not n.startswith(("incremental_", "rebuilt_"))])
 def test_no_pairing_and_no_python_in_any_plan(spark, name):
     df = REGISTRY[name](Project(RetailSource(spark, FOLDER), RETAIL))
     text = df._jdf.queryExecution().executedPlan().toString()

@@ -7,7 +7,7 @@ import pytest
 from raw import SYSTEM, source
 from subledger import Project
 from subledger.plans.project import CORE, REPORTING
-from subledger.plans.warehouse import CatalogSink, ParquetSink, build, load_raw
+from subledger.plans.warehouse import CatalogSink, ParquetSink, VersionedSink, build, load_raw, published
 from subledger.registry import RETAIL
 from subledger.session import materialized, shared_folder
 from subledger.sources import RAW_TABLES, CatalogSource, CsvSource, ParquetSource, RetailSource, raw_schema
@@ -89,3 +89,26 @@ def test_shared_folder_is_the_clusters(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     df = materialized(spark.range(5))
     assert df.count() == 5 and shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_readers_find_a_run_when_it_is_published(spark, tmp_path):
+    runs = [VersionedSink(spark, str(tmp_path)) for _ in range(2)]
+    for n, sink in enumerate(runs):
+        sink.write(spark.range(n + 1), "marts", "t", None)
+    runs[0].publish(1)
+    assert published(spark, str(tmp_path)) == runs[0].root != runs[1].root
+    runs[1].publish(2)
+    assert spark.read.parquet(f"{published(spark, str(tmp_path))}/marts/t").count() == 2
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        runs[0].publish(2)
+    assert published(spark, str(tmp_path)) == runs[1].root
+
+
+def test_the_shipped_shape_of_refunds(spark, settings):
+    """Fifteen refunds name no order, one order has two: the first count for no order, the second are summed."""
+    orders = [{"id": n, "customer_id": 1, "created_at": "2024-01-10T12:00:00-05:00", "financial_status": "refunded", "total_price": 50.0, "total_discounts": 0.0} for n in range(1, 4)]
+    refunds = [{"id": f"re_orphan_{n}", "amount": 700, "status": "succeeded"} for n in range(15)]
+    refunds += [{"id": f"re_{n}", "amount": 100 * n, "status": "succeeded", "metadata_shopify_order_id": 2} for n in (1, 2)]
+    p = Project(source(spark, raw_shopify__orders=orders, raw_stripe__refunds=refunds), settings)
+    found = {r.order_id: (float(r.stripe_refund_amount), r.stripe_refund_count) for r in p.int_payments__reconciled.collect()}
+    assert found == {1: (0.0, 0), 2: (3.0, 2), 3: (0.0, 0)} and p.stg_stripe__refunds.count() == 17
