@@ -721,6 +721,55 @@ ORACLES["sketch_retention"] = """
     select acquisition_cohort_month as cohort_month, date_diff('month', acquisition_cohort_month, order_month) as months_since_first_order,
         count(distinct customer_id) as customers_active, true as within_bound
     from f_orders where acquisition_cohort_month is not null and order_month is not null group by 1, 2"""
+ORACLES["customer_streaks"] = """
+    with recursive active as (
+        select distinct customer_id, order_month from f_orders
+        where order_month is not null and customer_id in (select customer_id from d_customers)
+    ), runs as (
+        select customer_id, order_month as streak_start, order_month as streak_end, 1 as n from active a
+        where not exists (select 1 from active b where b.customer_id = a.customer_id and b.order_month = a.order_month - interval 1 month)
+        union all
+        select r.customer_id, streak_start, a.order_month, n + 1
+        from runs r join active a on a.customer_id = r.customer_id and a.order_month = r.streak_end + interval 1 month
+    ), longest as (
+        select customer_id, streak_start, max(streak_end) as streak_end, max(n)::bigint as active_months from runs group by all
+    )
+    select *, (select date_diff('month', max(b.streak_end), a.streak_start) - 1 from longest b
+        where b.customer_id = a.customer_id and b.streak_end < a.streak_start) as months_paused
+    from longest a"""
+ORACLES["channel_credit"] = """
+    with known as (
+        select order_id, shopify_customer_id as customer, order_created_at_utc as placed, channel, net_c from enriched
+        where channel is not null and shopify_customer_id is not null and order_created_at_utc is not null
+    ), touches as (
+        select o.order_id, o.net_c, t.channel from known o join known t on t.customer = o.customer
+            and (t.placed, t.order_id) <= (o.placed, o.order_id) group by all
+    ), linear as (
+        select channel, sum(cast(net_c as decimal(30, 8)) / 100 / n) as linear
+        from touches join (select order_id, count(*) as n from touches group by all) using (order_id) group by channel
+    ), last as (
+        select channel, sum(net_c) as last_c from known group by channel
+    ), first as (
+        select first_channel as channel, sum(net_c) as first_c from (
+            select net_c, first_value(channel) over (partition by customer order by placed, order_id) as first_channel from known
+        ) group by all
+    )
+    select channel, coalesce(first_c, 0) / 100.0 as first_touch, coalesce(last_c, 0) / 100.0 as last_touch, round(linear, 2)::double as linear
+    from linear left join last using (channel) left join first using (channel)"""
+ORACLES["subscription_survival"] = f"""
+    with lives as (
+        select subscription_frequency_tier as tier, subscription_cancelled_at_utc is not null as gone, greatest(0, date_diff('month',
+            subscription_created_at_utc, coalesce(subscription_cancelled_at_utc, cast({AS_OF} as timestamp)))) as tenure
+        from s_subscriptions where subscription_created_at_utc is not null
+    ), tenures as (
+        select t.tier, t.tenure, (select count(*) from lives l where l.tier = t.tier and l.tenure >= t.tenure) as at_risk,
+            (select count(*) from lives l where l.tier = t.tier and l.tenure = t.tenure and gone) as ended,
+            (select count(*) from lives l where l.tier = t.tier and l.tenure = t.tenure and not gone) as censored
+        from (select distinct tier, tenure from lives) t
+    )
+    select tier, tenure as tenure_months, at_risk, ended, censored,
+        round((select product(1 - e.ended / e.at_risk) from tenures e where e.tier = t.tier and e.tenure <= t.tenure), 6) as survival
+    from tenures t"""
 ORACLES["order_differences"] = f"""
     with orders_now as (
         select order_id, shopify_customer_id, order_month, financial_status, order_month is not null and year(order_month) = 1997 as in_year from enriched

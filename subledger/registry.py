@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from subledger.functions import cents_to_dollars, clean_email, days_between, month_of, months_between, safe_divide, zone_to_utc
 from subledger.operators.difference import digest_tree, row_changes
 from subledger.operators import day_spine, month_spine, number_rows
-from subledger.plans import core, dashboards, history, identity, intermediate, quality, reporting, sketches
+from subledger.plans import core, dashboards, history, identity, intermediate, lifetimes, quality, reporting, sketches
 from subledger.plans.incremental import BucketStore, IncrementalMarts
 from subledger.plans.project import Project
 from subledger.plans.warehouse import ParquetSink, VersionedSink, build, load_raw, published
@@ -121,6 +121,10 @@ REGISTRY: dict[str, Callable[[Project], DataFrame]] = {
         p.source.read("shopify", "raw_shopify__customers").select("id", clean_email(F.col("email")).alias("email")),
         p.stg_recharge__customers, p.stg_stripe__charges,
     ),
+    # Lifetimes
+    "customer_streaks": lambda p: lifetimes.streaks(reporting.customer_months(p.valid_orders, p.stg_shopify__customers)),
+    "channel_credit": lambda p: lifetimes.channel_credit(p.valid_orders),
+    "subscription_survival": lambda p: lifetimes.survival(p.stg_recharge__subscriptions, p.settings),
     # Sketches and differences
     "sketch_rollup": lambda p: sketches.checked_rollup(sketches.order_lines(p.valid_orders, p.stg_shopify__order_line_items), ["channel"]),
     "sketch_rollup_by_month": lambda p: sketches.checked_rollup(

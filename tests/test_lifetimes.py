@@ -1,0 +1,57 @@
+"""Streaks, credit to channels and survival, on literal rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from subledger.plans import lifetimes
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def month(n):
+    return dt.date(2024 + (n - 1) // 12, (n - 1) % 12 + 1, 1)
+
+
+def test_streaks(spark):
+    months = spark.createDataFrame([(1, month(n)) for n in (1, 2, 3, 6, 12, 13)] + [(2, month(5)), (3, None)], "customer_id int, order_month date")
+    assert rows_of(lifetimes.streaks(months)) == [
+        (1, month(1), month(3), 3, None), (1, month(12), month(13), 2, 5), (1, month(6), month(6), 1, 2), (2, month(5), month(5), 1, None),
+    ]
+    assert lifetimes.streaks(months.limit(0)).collect() == []
+
+
+def orders(spark, rows):
+    return spark.createDataFrame(rows, "order_id int, shopify_customer_id int, order_created_at_utc timestamp_ntz, channel string, net_revenue decimal(10,2)")
+
+
+def test_credit_of_channels(spark):
+    at = lambda n: dt.datetime(2024, 1, n)
+    rows = [(1, 1, at(1), "a", D(10)), (2, 1, at(2), "b", D(10)), (3, 1, at(3), "a", D(30)), (4, 2, at(1), "b", D(7)), (5, None, at(1), "b", D(9)), (6, 1, None, "c", D(9)), (7, 1, at(1), None, D(9))]
+    found = {r.channel: (float(r.first_touch), float(r.last_touch), float(r.linear)) for r in lifetimes.channel_credit(orders(spark, rows)).collect()}
+    assert found == {"a": (50.0, 40.0, 30.0), "b": (7.0, 17.0, 27.0)}
+    assert lifetimes.channel_credit(orders(spark, [])).collect() == []
+
+
+def test_a_customer_with_most_orders(spark):
+    """50,000 orders by three channels give three touches, and credit adds up to the revenue by every rule."""
+    df = spark.range(60_000).selectExpr(
+        "id as order_id", "if(id < 50000, 0, id % 100 + 1) as shopify_customer_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, id) as order_created_at_utc",
+        "concat('c', id % 3) as channel", "cast(3 as decimal(10,2)) as net_revenue",
+    )
+    sums = lifetimes.channel_credit(df).agg(F.sum("first_touch"), F.sum("last_touch"), F.sum("linear")).first()
+    assert all(abs(float(s) - 180_000) < 0.1 for s in sums)
+
+
+def test_survival(spark, settings):
+    """Two end in their second month, one still runs there, and one lasts: 1 - 2/4, then 1 - 0/1."""
+    day = lambda m: dt.datetime(2025, m, 1)
+    rows = [("t", day(1), day(2)), ("t", day(2), day(3)), ("t", day(5), None), ("t", day(1), None), ("u", day(6), day(6)), ("u", None, None)]
+    df = spark.createDataFrame(rows, "subscription_frequency_tier string, subscription_created_at_utc timestamp_ntz, subscription_cancelled_at_utc timestamp_ntz")
+    assert rows_of(lifetimes.survival(df, settings)) == [("t", 1, 4, 2, 1, 0.5), ("t", 5, 1, 0, 1, 0.5), ("u", 0, 1, 1, 0, 0.0)]
+    assert lifetimes.survival(df.limit(0), settings).collect() == []
