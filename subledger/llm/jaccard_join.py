@@ -360,7 +360,8 @@ def join(df: DataFrame, settings: Settings = Settings(), key: str = "doc_id", te
     links connect, copies included. ``class_id`` is the same number for all of a class and tells nothing else. ``n_links``
     counts the other texts that a document's is linked to, ``n_copies`` the other rows with the very same text. Texts of
     fewer words than n are one token; texts without words, null ones included, have no class (null) and no links.
-    Repeated rows are copies of each other. An empty table gives no rows; other columns are not looked at.
+    Repeated rows are copies of each other. An empty table gives no rows; other columns are not looked at. Very long texts
+    are read whole: a task holds the token set of one of them.
     """
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"), _digest(F.col(text)).alias("digest"))
     sets = token_sets(docs.select("digest", "text"), settings)
@@ -382,7 +383,8 @@ def join(df: DataFrame, settings: Settings = Settings(), key: str = "doc_id", te
 
 def keep_one(df: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns unchanged, less all but one of each class: the one with the smallest key stays (a null
-    key is the last to stay). Documents without words all stay.
+    key is the last to stay). Documents without words, null ones included, all stay. Of repeated rows one stays, an empty table
+    stays empty; columns may have any name but ``_join_row``.
     """
     rows = with_row_id(df, "_join_row")
     classes = join(rows.select("_join_row", text), settings, "_join_row", text).filter("class_id is not null")

@@ -220,7 +220,9 @@ def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str =
 
 def mixed_documents(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The documents of the mix, all their columns unchanged, each as often as it is taken. Documents without words, which
-    no quota counts, stay once."""
+    no quota counts, stay once; a null source is one. Repeated rows are documents of their own, an empty table stays empty;
+    columns may have any name but ``_mix_row``, ``_mix_size``, ``_mix_times`` and ``_mix_copy``.
+    """
     rows = _numbered(df, df.columns, source, text)
     times = _plan(rows, key, **options).taken().groupBy(_ROW).agg(F.sum("times").alias("_mix_times"))
     copies = F.when(F.col("_mix_size") == 0, 1).otherwise(F.col("_mix_times")).cast("int")

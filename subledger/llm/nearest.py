@@ -77,7 +77,8 @@ def usable(vector: Column) -> Column:
 def index(df: DataFrame, settings: Settings = Settings(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Every usable vector with its code, written once: row, key, vector (double), bits, length, along.
 
-    Vectors of another dimension than the commonest, and rows without a key, take no part, like unusable vectors.
+    Vectors of another dimension than the commonest, and rows without a key, take no part, like unusable vectors. Repeated
+    rows are vectors of their own, an empty table gives an empty index; other columns, whatever their names, are left out.
     """
     plain = F.col(vector).cast("array<double>")
     rows = df.select(F.col(key).alias("key"), plain.alias("vector")).filter(usable(F.col("vector")) & F.col("key").isNotNull())

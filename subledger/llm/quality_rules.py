@@ -198,7 +198,11 @@ _FIGURES = {
 
 
 def keep_good(df: DataFrame, bands: Bands = Bands(), base: BaseRules = BaseRules(), text: str = "text") -> DataFrame:
-    """The documents that pass, all their columns unchanged."""
+    """The documents that pass, all their columns unchanged.
+
+    Null and empty texts have no words and go; very long ones are judged as a whole and in chunks. Repeated rows are judged
+    alike, an empty table stays empty, columns of any name are passed on.
+    """
 
     def make():
         judge = Judge(bands, base)
