@@ -43,7 +43,7 @@ FAN = 16
 FREQUENT = 1_000_000
 #: Words a worker remembers, twice (a new table begins when one is full, and the one before is kept to look in), and the
 #: longest ones it does, in bytes.
-CACHE_WORDS, CACHE_BYTES = 150_000, 64
+CACHE_WORDS, CACHE_BYTES = 280_000, 64
 #: Documents whose links a task holds as numbers at a time.
 SCORED_ROWS = 256
 #: Beyond these characters the two implementations of the first tokenizer may have other character tables. Finds one beyond.
@@ -140,6 +140,8 @@ class Pair:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)
         ]
         self.lengths_a, self.lengths_b = (np.array([len(r) for r in raw]) for raw in (self.bytes_a, self.bytes_b))
+        #: An id in text, with each of what may follow it.
+        self.written = [[f"{n}{follows}" for n in range(max(self.size_a, self.size_b))] for follows in _BETWEEN]
         self.known: dict[bytes, Closed | None] = {}
         self.older: dict[bytes, Closed | None] = {}
 
@@ -201,8 +203,8 @@ class Pair:
         closes = np.zeros(len(common), np.int64)
         closes[last_groups] = 1
         follows = np.where(np.append(group[1:] == group[:-1], False), 0, np.where(group % 2 == 0, 1, 2 + closes[group // 2]))
-        names = list(map(str, a)) + list(map(str, b))
-        written = [names[n] + _BETWEEN[f] for n, f in zip(order.tolist(), follows.tolist())]
+        table = self.written
+        written = [table[f][n] for n, f in zip(np.concatenate(ids)[order].tolist(), follows.tolist())]
         cuts = [np.searchsorted(e, part_ends, "right") for e in (*ends, common)]
         pairs = ids[0][np.searchsorted(ends[0], common)] * self.size_b + ids[1][np.searchsorted(ends[1], common)]
         links, width = pairs.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
