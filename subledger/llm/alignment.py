@@ -142,8 +142,8 @@ class Pair:
         self.lengths_a, self.lengths_b = (np.array([len(r) for r in raw]) for raw in (self.bytes_a, self.bytes_b))
         #: An id in text, with each of what may follow it.
         self.written = [[f"{n}{follows}" for n in range(max(self.size_a, self.size_b))] for follows in _BETWEEN]
-        self.known: dict[bytes, Closed | None] = {}
-        self.older: dict[bytes, Closed | None] = {}
+        self.known: dict[bytes, tuple | None] = {}
+        self.older: dict[bytes, tuple | None] = {}
 
     def tokens(self, parts: Sequence[bytes]) -> list[tuple[list[int], list[int], list[int], list[int]] | None]:
         """Ids and ends of either tokenizer for each part, which starts with the space that is added or was there; None
@@ -157,7 +157,8 @@ class Pair:
             out.append((a.ids, _ends(raw_a), b, _ends(raw_b)) if same else None)
         return out
 
-    def closed(self, parts: Sequence[bytes]) -> list[Closed | None]:
+    def closed(self, parts: Sequence[bytes]) -> list[tuple | None]:
+        """The fields of ``Closed`` for each part; None where it has no tokens."""
         known, older = self.known, self.older
         found = [known.get(p, False) for p in parts]
         if False not in found:
@@ -170,9 +171,9 @@ class Pair:
         self.known.update((p, c) for p, c in made.items() if len(p) <= CACHE_BYTES)
         return [made[p] if f is False else f for p, f in zip(parts, found)]
 
-    def _close(self, parts: Sequence[bytes]) -> dict[bytes, Closed | None]:
+    def _close(self, parts: Sequence[bytes]) -> dict[bytes, tuple | None]:
         """New parts, tokenized as one text if that text is cut into just these parts; else each by itself."""
-        made: dict[bytes, Closed | None] = dict.fromkeys(parts)
+        made: dict[bytes, tuple | None] = dict.fromkeys(parts)
         plain = [p for p in parts if _MARK not in p]  # which the second tokenizer takes for a space
         joined = b"".join(plain)
         found = self._aligned(plain, joined) if len(plain) > 1 and parts_of(joined) == plain else None
@@ -180,7 +181,7 @@ class Pair:
             made[part] = found[at] if found else (self._aligned([part], part) or [None])[0]
         return made
 
-    def _aligned(self, parts: Sequence[bytes], raw: bytes) -> list[Closed] | None:
+    def _aligned(self, parts: Sequence[bytes], raw: bytes) -> list[tuple] | None:
         """The parts of one text; None where the tokens do not give its bytes back or go on across the end of a part."""
         text = raw.decode("utf-8", "surrogatepass")
         if self.quick and not _DISPUTED.search(text):
@@ -212,7 +213,8 @@ class Pair:
         for now in zip(*(c.tolist() for c in cuts)):
             groups = "".join(written[before[0] + before[1] : now[0] + now[1]])
             counts = [y - x for x, y in zip(before, now)]
-            out.append(Closed(groups, *counts, links[width * before[2] : width * now[2]]))
+            # A plain tuple of strings and numbers, which the garbage collector need not visit among very many.
+            out.append((groups, *counts, links[width * before[2] : width * now[2]]))
             before = now
         return out
 
@@ -277,7 +279,7 @@ def parts_of(raw: bytes) -> list[bytes]:
     return ([first] if first else []) + [b" " + p for p in others]
 
 
-def _run(parts: Sequence[Closed]) -> Closed:
+def _run(parts: Sequence[tuple]) -> Closed:
     groups, n_a, n_b, n_links, links = zip(*parts)
     return Closed(";".join(groups), sum(n_a), sum(n_b), sum(n_links), b"".join(links))
 
