@@ -176,7 +176,7 @@ def order_facts_from_history(orders: DataFrame, shop_customers: DataFrame) -> Da
     return order_fact_columns(joined.withColumns(kept))
 
 
-def order_fact_columns(orders: DataFrame) -> DataFrame:
+def order_fact_columns(orders: DataFrame, *extra: str) -> DataFrame:
     return orders.withColumnRenamed("shopify_customer_id", "customer_id").select(
         "order_id",
         "order_number",
@@ -204,6 +204,7 @@ def order_fact_columns(orders: DataFrame) -> DataFrame:
         "utm_source",
         "utm_medium",
         "channel",
+        *extra,
     )
 
 

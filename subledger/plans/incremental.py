@@ -1,8 +1,10 @@
 """Order facts, customers and cohorts kept up to date from batches of changed raw rows.
 
-A batch touches some orders and customers. Only the buckets that hold those are read, only their rows are computed anew, and
-only their buckets are written; what is computed is what a full rebuild computes, by the same functions. All tables of a
-batch become visible in one step, when its manifest is.
+A batch touches some orders and customers. Its raw rows are put beside those of earlier batches; of two copies the one that
+counts is told when they are read. Only the buckets that hold touched orders and customers are read, only the touched orders
+meet their items again, and only the buckets of touched customers are computed anew and written, each as a whole; what is
+computed is what a full rebuild computes, by the same functions. All tables of a batch become visible in one step, when its
+manifest is.
 
 A batch may hold late rows and retries: a retry that replaces an order may give it another customer, and both count as
 touched. Line items and their copies stay with their order.
@@ -14,24 +16,35 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from subledger.functions import clean_email, days_between, months_between
-from subledger.operators import find_hot_keys, number_rows
+from subledger.operators import HotKeys, find_hot_keys, keep_first, left_join_few, number_rows
 from subledger.plans import core, intermediate, reporting, staging
 from subledger.session import materialized
 from subledger.settings import Settings
 from subledger.sources import raw_schema
 
 _MANIFEST = "version long, batch string, name string, bucket int, folder string"
+# Folders a bucket of raw rows may lie in before they are merged to one.
+_MOST_FOLDERS = 8
+# What is kept of a valid order, and which of it the facts do not publish; what the facts say of its customer.
+_PLACED = [
+    "order_id", "order_number", "shopify_customer_id", "customer_email", "order_created_at_utc", "gross_revenue",
+    "discount_amount", "net_revenue", "tax_amount", "shipping_amount", "item_count", "total_units", "product_names", "skus",
+    "is_subscription_order", "financial_status", "fulfillment_status", "discount_codes", "billing_state", "utm_source",
+    "utm_medium", "channel",
+]
+_CARRIED = ["customer_email", "order_created_at_utc", "_copy"]
+_ACQUIRED = ["acquisition_cohort_month", "acquisition_channel"]
 
 
 class BucketStore:
     """Tables in hash buckets below ``root``, a folder every executor can write to.
 
-    A version is a manifest: which folder holds which bucket of which table. It is one small file, moved to its place when
+    A version is a manifest: which folders hold which bucket of which table. It is one small file, moved to its place when
     it is complete, so readers see all of a version or nothing; folders are never written twice. One writer at a time.
     """
 
@@ -47,7 +60,8 @@ class BucketStore:
         self.folders = {}
         for r in rows:
             if r.version == self.version and r.name:
-                self.folders.setdefault(r.name, {})[r.bucket] = r.folder
+                held = self.folders.setdefault(r.name, {})
+                held[r.bucket] = (*held.get(r.bucket, ()), r.folder)
         return self
 
     def bucket(self, key: str | Column) -> Column:
@@ -60,7 +74,7 @@ class BucketStore:
     def read(self, name: str, schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
         """A table, or some of its buckets, as of the version that this store stands at. Others are not listed or opened."""
         held = self.folders.get(name, {})
-        paths = [f"{held[n]}/_bucket={n}" for n in sorted(held) if buckets is None or n in buckets]
+        paths = [f"{folder}/_bucket={n}" for n in sorted(held) if buckets is None or n in buckets for folder in held[n]]
         if not paths:
             return nothing(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -75,19 +89,21 @@ class BucketStore:
         df.withColumn("_bucket", self.bucket(key)).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(folder)
         return folder
 
-    def commit(self, batch: str, written: Mapping[str, tuple[str, Sequence[int]]]) -> None:
-        """Make a version in which the given buckets of each table are those in its new folder."""
-        for name, (folder, buckets) in written.items():
+    def commit(self, batch: str, written: Mapping[str, Sequence[tuple[str, Sequence[int]]]]) -> None:
+        """Make a version in which each table has its new folders, in place of all that lay in the given buckets."""
+        for name, parts in written.items():
             held = self.folders.setdefault(name, {})
-            for n in buckets:
-                held.pop(n, None)
-            # Named by the listing; no file is opened.
-            files = self.spark.read.schema("_bucket int").parquet(folder).inputFiles()
-            held.update({int(f.split("/_bucket=")[1].split("/")[0]): folder for f in files})
+            for folder, replaced in parts:
+                for n in replaced:
+                    held.pop(n, None)
+                # Named by the listing; no file is opened.
+                files = self.spark.read.schema("_bucket int").parquet(folder).inputFiles()
+                for n in {int(f.split("/_bucket=")[1].split("/")[0]) for f in files}:
+                    held[n] = (*held.get(n, ()), folder)
         self.version += 1
         self.batches.add(batch)
         rows = [(self.version, batch, "", -1, "")]
-        rows += [(self.version, batch, name, n, folder) for name, held in self.folders.items() for n, folder in held.items()]
+        rows += [(self.version, batch, name, n, f) for name, held in self.folders.items() for n, folders in held.items() for f in folders]
         self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.parquet(f"{self.root}/manifest/{self.version:09d}")
 
 
@@ -130,27 +146,51 @@ class IncrementalMarts:
         }
 
     def _derived(self, orders, items, customers, recharge, subscriptions) -> dict[str, DataFrame]:
-        placed, unified = self._placed_orders(orders, items), self._unified(customers, recharge)
-        known = staging.subscriptions(subscriptions, self.settings)
-        return {"placed": placed, "unified": unified, **self._marts(placed, unified, known)}
+        placed, unified = self._placed_orders(orders, self._items(items, orders)), self._unified(customers, recharge)
+        facts = self._facts(placed, unified, HotKeys("shopify_customer_id"))
+        return {"unified": unified, "fct_orders": facts, "dim_customers": self._dimension(facts, unified, staging.subscriptions(subscriptions, self.settings))}
 
     # What a full rebuild computes, on any subset of orders, e-mails or customers
 
+    def _items(self, items: DataFrame, orders: DataFrame) -> DataFrame:
+        """One raw row per line item of the given raw orders, chosen among the copies with its order: one shuffle by order
+        serves the choice, the aggregate per order and its join. Items without an id are copies of one another whatever
+        their order, so only the order of the one that stays keeps it.
+        """
+        unnamed = staging.first_items(items.filter("id is null")).select(F.col("order_id").alias("_kept_in"))
+        wanted = orders.select(F.col("id").alias("_order"))
+        chosen = keep_first(items.join(wanted, F.col("order_id") == F.col("_order"), "left_semi"), ["order_id", "id"], skip=["id"])
+        told = chosen.join(F.broadcast(unnamed), F.col("order_id") == F.col("_kept_in"), "left")
+        return told.filter("id is not null or _kept_in is not null").drop("_kept_in")
+
     def _placed_orders(self, orders: DataFrame, items: DataFrame) -> DataFrame:
-        """Valid orders with what was in them, before their place in the customer's history."""
+        """Valid orders with what was in them, before their place in the customer's history. Of ``items`` copies are gone."""
         valid = intermediate.valid_orders(staging.shop_orders(orders, self.settings))
-        return valid.join(intermediate.order_items(staging.shop_line_items(items)), "order_id", "left")
+        return valid.join(intermediate.order_items(staging.line_item_columns(items)), "order_id", "left").select(*_PLACED)
 
     def _unified(self, customers: DataFrame, recharge: DataFrame) -> DataFrame:
         shop = staging.shop_customers(customers, self.settings)
         return intermediate.unified_customers(shop, staging.subscription_customers(recharge))
 
-    def _marts(self, placed: DataFrame, unified: DataFrame, subscriptions: DataFrame) -> dict[str, DataFrame]:
-        hot = find_hot_keys(placed.select("shopify_customer_id"), "shopify_customer_id", self.settings.rows_per_task)
+    def _facts(self, placed: DataFrame, unified: DataFrame, hot: HotKeys) -> DataFrame:
+        """Order facts with what the next batch needs of them. An order has a row for every row that its customer has in the
+        dimension; the first is number 0 in ``_copy``.
+        """
+        key = "shopify_customer_id"
+        number = F.row_number().over(Window.partitionBy(key).orderBy("customer_email")) - 1
+        known = unified.select(key, number.alias("_copy"))
         history = number_rows(placed, intermediate.HISTORY, "customer_order_sequence", hot)
-        dimension = core.customers(unified, placed, subscriptions, self.settings)
-        acquired = core.acquisition(unified, placed)
-        return {"dim_customers": dimension, "fct_orders": core.order_facts(intermediate.enriched_orders(history), acquired, hot)}
+        if hot:
+            first = core.customer_orders(placed).select(key, *_ACQUIRED)
+            orders = left_join_few(history, known.join(first, key, "left"), hot, spread=["order_id"])
+        else:
+            joined = intermediate.with_acquisition(history).join(known, key, "left")
+            orders = joined.withColumns({c: F.when(F.col("_copy").isNotNull(), F.col(c)) for c in _ACQUIRED})
+        orders = orders.withColumn("_copy", F.coalesce("_copy", F.lit(0)))
+        return core.order_fact_columns(intermediate.enriched_orders(orders, *_ACQUIRED, "_copy"), *_CARRIED)
+
+    def _dimension(self, facts: DataFrame, unified: DataFrame, subscriptions: DataFrame) -> DataFrame:
+        return core.customers(unified, _placed(facts), subscriptions, self.settings)
 
     # A batch
 
@@ -160,62 +200,63 @@ class IncrementalMarts:
         if batch in self.store.batches:
             return
         store, written = self.store, {}
-        rows = {name: changed.get(name, nothing(self.spark, self.raw_schema(name))) for name in self.RAW}
-        rows = {name: df.select(*self.raw_schema(name).names) for name, df in rows.items()}
+        raw_schemas = {name: _keyed_schema(self.raw_schema(name), key) for name, (_, _, key) in self.RAW.items()}
+
+        def append(name: str) -> DataFrame:
+            """The new raw rows, written beside the old ones. Buckets in many folders are merged first."""
+            if name not in changed:
+                return nothing(self.spark, raw_schemas[name])
+            key, parts = self.RAW[name][2], []
+            full = [n for n, folders in store.folders.get(name, {}).items() if len(folders) >= _MOST_FOLDERS]
+            if full:
+                parts.append((store.write(name, _survivors(name, store.read(name, raw_schemas[name], full)), key), full))
+            folder = store.write(name, _keyed(changed[name].select(*self.raw_schema(name).names), key), key)
+            written[name] = [*parts, (folder, [])]
+            return store.folder(folder, raw_schemas[name])
 
         def replace(name: str, schema: T.StructType, buckets: Sequence[int], df: DataFrame, key: str) -> DataFrame:
             """``df`` in place of these buckets; the written rows. Nothing is written if there are none to replace."""
             if not buckets:
                 return nothing(self.spark, schema)
             folder = store.write(name, df, key)
-            written[name] = folder, buckets
+            written[name] = [(folder, buckets)]
             return store.folder(folder, schema)
 
+        rows = {name: append(name) for name in self.RAW}
         orders = materialized(rows["orders"].select("id").union(rows["items"].select("order_id")).distinct())
-        emails = materialized(_emails(rows["customers"]).union(_emails(rows["recharge"])).distinct())
+        emails = materialized(rows["customers"].select("_email").union(rows["recharge"].select("_email")).distinct())
         # An order and its items, and either side of the customers' join, whichever of them changed.
         by_order, by_email = store.touched(orders), store.touched(emails)
-        by_customer = store.touched(rows["subscriptions"].select("shopify_customer_id")) if "subscriptions" in changed else []
-        touched_raw = {"orders": by_order, "items": by_order, "customers": by_email, "recharge": by_email, "subscriptions": by_customer}
-        merged, old = {}, {}
-        for name, (_, _, key) in self.RAW.items():
-            schema = _keyed_schema(self.raw_schema(name), key)
-            old[name] = store.read(name, schema, touched_raw[name])
-            more = _keyed(rows[name], key)
-            merged[name] = replace(name, schema, touched_raw[name], _survivors(name, old[name].unionByName(more)), key)
-
-        placed = materialized(self._placed_orders(among(merged["orders"], "id", orders), among(merged["items"], "order_id", orders)))
-        unified = materialized(self._unified(
-            among(merged["customers"], "_email", emails).drop("_email"), among(merged["recharge"], "_email", emails).drop("_email")
-        ))
-        customers = materialized(
-            among(old["orders"], "id", orders).select(F.col("customer_id").alias("customer"))
-            .union(among(merged["orders"], "id", orders).select("customer_id"))
-            .union(among(old["customers"], "_email", emails).select("id")).union(among(merged["customers"], "_email", emails).select("id"))
-            .union(rows["subscriptions"].select("shopify_customer_id")).distinct()
+        old = lambda name, buckets: store.read(name, raw_schemas[name], buckets).select(*raw_schemas[name].names)
+        both = lambda name, buckets: old(name, buckets).unionByName(rows[name])
+
+        # The raw rows of the touched orders; those that were there before may have been placed.
+        seen = old("orders", by_order).withColumn("_seen", F.lit(True)).unionByName(rows["orders"].withColumn("_seen", F.lit(False)))
+        raw_orders = materialized(among(seen, "id", orders))
+        again = raw_orders.filter("_seen").select("id").distinct()
+        raw_orders = raw_orders.drop("_seen")
+        placed = materialized(self._placed_orders(raw_orders, self._items(both("items", by_order), raw_orders)))
+        customers = among(both("customers", by_email), "_email", emails)
+        unified = materialized(self._unified(customers.drop("_email"), among(both("recharge", by_email), "_email", emails).drop("_email")))
+
+        touched = store.touched(
+            raw_orders.select("customer_id").union(customers.select("id")).union(rows["subscriptions"].select("shopify_customer_id"))
         )
-        touched = store.touched(customers)
         read = lambda name: store.read(name, self.schemas[name], touched)
-
-        all_placed = replace(
-            "placed", self.schemas["placed"], touched, among(read("placed"), "order_id", orders, "left_anti").unionByName(placed), "shopify_customer_id"
-        )
         all_unified = replace(
             "unified", self.schemas["unified"], touched, among(read("unified"), "customer_email", emails, "left_anti").unionByName(unified), "shopify_customer_id"
         )
-        changed_buckets = written.get("subscriptions", ("", []))[1]
-        subscriptions = store.read("subscriptions", self.raw_schema("subscriptions"), [n for n in touched if n not in changed_buckets])
-        subscriptions = subscriptions.unionByName(merged["subscriptions"])
-        marts = self._marts(
-            among(all_placed, "shopify_customer_id", customers), among(all_unified, "shopify_customer_id", customers),
-            among(staging.subscriptions(subscriptions, self.settings), "shopify_customer_id", customers),
+        before = read("fct_orders")
+        hot = find_hot_keys(
+            _placed(before).select("shopify_customer_id").union(placed.select("shopify_customer_id")), "shopify_customer_id", self.settings.rows_per_task
         )
-        before = among(read("fct_orders"), "customer_id", customers)
-        after = {}
-        for name, df in marts.items():
-            rest = among(read(name), "customer_id", customers, "left_anti")
-            after[name] = replace(name, self.schemas[name], touched, rest.unionByName(df), "customer_id")
-        self._recount(before, among(after["fct_orders"], "customer_id", customers), replace)
+        all_placed = among(_placed(before), "order_id", again, "left_anti").unionByName(placed)
+        after = replace("fct_orders", self.schemas["fct_orders"], touched, self._facts(all_placed, all_unified, hot), "customer_id")
+        held = store.read("subscriptions", raw_schemas["subscriptions"], touched)
+        new = rows["subscriptions"].filter(store.bucket("shopify_customer_id").isin(touched))
+        subscriptions = staging.subscriptions(held.unionByName(new), self.settings)
+        replace("dim_customers", self.schemas["dim_customers"], touched, self._dimension(after, all_unified, subscriptions), "customer_id")
+        self._recount(before, after, replace)
         store.commit(batch, written)
 
     def _recount(self, before: DataFrame, after: DataFrame, replace) -> None:
@@ -239,7 +280,8 @@ class IncrementalMarts:
 
     @property
     def fct_orders(self) -> DataFrame:
-        return self.store.read("fct_orders", self.schemas["fct_orders"])
+        rows = self.store.read("fct_orders", self.schemas["fct_orders"])
+        return rows.drop(*_CARRIED)
 
     @property
     def dim_customers(self) -> DataFrame:
@@ -261,8 +303,9 @@ def _keyed(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, clean_email(F.col("email"))) if key == "_email" else df
 
 
-def _emails(df: DataFrame) -> DataFrame:
-    return _keyed(df, "_email").select("_email")
+def _placed(facts: DataFrame) -> DataFrame:
+    """The placed orders that facts were made of."""
+    return facts.filter("_copy = 0").withColumnRenamed("customer_id", "shopify_customer_id").select(*_PLACED)
 
 
 def _keyed_schema(schema: T.StructType, key: str) -> T.StructType:
@@ -270,7 +313,7 @@ def _keyed_schema(schema: T.StructType, key: str) -> T.StructType:
 
 
 def _survivors(name: str, df: DataFrame) -> DataFrame:
-    """Of copies of a row the one that a full rebuild would keep: copies that lost to it before would lose again."""
+    """Of copies of a row the one that a full rebuild would keep: copies that lost to it would lose again."""
     if name == "orders":
         return staging.first_deliveries(df)
     if name == "items":

@@ -100,9 +100,13 @@ def first_items(raw: DataFrame) -> DataFrame:
 
 
 def shop_line_items(raw: DataFrame) -> DataFrame:
+    return line_item_columns(first_items(raw))
+
+
+def line_item_columns(raw: DataFrame) -> DataFrame:
     price, quantity = money(F.col("price")), F.col("quantity").cast("int")
     discount = money(F.col("total_discount"))
-    return first_items(raw).select(
+    return raw.select(
         F.col("id").alias("line_item_id"),
         "order_id",
         "product_id",

@@ -9,6 +9,7 @@ import pytest
 
 from raw import raw, source
 from subledger import Project
+from subledger.plans import incremental
 from subledger.plans.incremental import BucketStore, IncrementalMarts
 
 NAMES = {name: table for name, (_, table, _) in IncrementalMarts.RAW.items()}
@@ -115,3 +116,32 @@ def test_nothing_at_all(spark, settings, tmp_path):
     marts = IncrementalMarts(BucketStore(spark, str(tmp_path), 4), settings)
     marts.apply("empty")
     assert marts.fct_orders.collect() == marts.dim_customers.collect() == marts.cohort_retention.collect() == []
+
+
+def test_raw_rows_are_written_once_and_read_for_touched_orders_only(spark, settings, tmp_path):
+    """A customer with two rows in the dimension has each order twice, batch after batch; of items without an id one stays."""
+    marts, seen = IncrementalMarts(BucketStore(spark, str(tmp_path), 2), settings), {}
+    apply(
+        spark, marts, "first", seen, orders=[order(n, n % 3, "2024-01-05") for n in range(6)], items=[item(n, n % 6) for n in range(12)] + [item(None, 4), item(None, 5, "b")],
+        customers=[customer(1, "old@x"), customer(1, "new@x"), customer(2, "c2@x")],
+    )
+    before = {name: dict(held) for name, held in marts.store.folders.items()}
+    apply(spark, marts, "second", seen, orders=[order(7, 1, "2024-02-05"), order(1, 2, "2024-01-04")], items=[item(20, 7), item(0, 0)])
+    for name, rows in (("orders", 2), ("items", 2)):
+        held = marts.store.folders[name]
+        assert all(set(before[name][n]) <= set(held[n]) for n in before[name])
+        added = {f for n in held for f in held[n]} - {f for folders in before[name].values() for f in folders}
+        assert len(added) == 1 and spark.read.parquet(*added).count() == rows
+    equal_to_rebuild(spark, marts, settings, seen)
+
+
+def test_buckets_in_many_folders_are_merged(spark, settings, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "_MOST_FOLDERS", 1)
+    marts, seen = IncrementalMarts(BucketStore(spark, str(tmp_path), 1), settings), {}
+    for n in range(3):
+        apply(
+            spark, marts, f"batch {n}", seen, orders=[order(1, 1, "2024-01-05", 3 - n), order(n, 1, "2024-02-05")],
+            items=[item(1, 1, f"t{n}")], customers=[customer(1, " A@x" if n else "a@x", f"2024-01-0{n + 1}")],
+        )
+        assert all(len(folders) <= 2 for held in marts.store.folders.values() for folders in held.values())
+    equal_to_rebuild(spark, IncrementalMarts(BucketStore(spark, str(tmp_path), 1).refresh(), settings), settings, seen)
