@@ -118,6 +118,13 @@ def test_order_facts_read_the_raw_orders_once(spark):
     assert text.count("Exchange hashpartitioning") == 8
 
 
+def test_the_report_drops_copies_once_for_all_tables(spark):
+    text = joins_without_broadcast(spark, lambda: REGISTRY["dq_report"](Project(RetailSource(spark, FOLDER), RETAIL)))
+    # items: raw checks, copies; orders too, and the raw tables that are made of them
+    assert text.count("lineitem.parquet") == 2
+    assert text.count("explode(CASE WHEN ((o_orderkey") == 2
+
+
 def test_scans_read_only_needed_columns_and_take_the_filters(spark, settings, tmp_path):
     for table, df in source(spark).frames.items():
         df.write.parquet(str(tmp_path / table))
